@@ -18,9 +18,12 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import ranktrail
+
 from ..functions.payload import item_field
 from ..operators.collect import (
     assemble_run,
@@ -48,6 +51,14 @@ _NONE_COUNT = len(STATUSES)
 
 _RECORD, _STATE = 0, 1
 
+#: Stand-ins for NULL in the columns the walk reads as plain ints.
+_UNRANKED, _STORED_STATE = 2**31 - 1, -1
+#: Response that leaves the status as classified.
+_AS_CLASSIFIED = -1
+
+# the state function travels with the query: executors need no installed copy of the package
+cloudpickle.register_pickle_by_value(ranktrail)
+
 _OUT_DDL = (
     "kind int, story_id bigint, ts bigint, code int, score int, descendants bigint, "
     "payload_ts bigint, counts array<bigint>"
@@ -84,7 +95,7 @@ def _calendar_age(new: int, old: int) -> int:
 class _Story:
     """State of the story whose rows are passing through."""
 
-    __slots__ = ("id", "last_ts", "code", "score", "counts", "at")
+    __slots__ = ("id", "last_ts", "code", "score", "counts", "at", "idle")
 
     def __init__(self, story_id: int):
         self.id = story_id
@@ -93,6 +104,7 @@ class _Story:
         self.score = None
         self.counts = [0] * (_NONE_COUNT + 1)
         self.at = 0  # index of the first run not yet handled
+        self.idle = None  # (run index, status) of the next fetch if it stays unranked
 
 
 class _Rules:
@@ -116,13 +128,17 @@ class _Rules:
         times = story.counts[last]
         if last == _NEW and times < r.new_repeat:
             return _NEW
-        hot_rank = _within(top, r.hot_rank) or _within(best, r.hot_rank)
-        if last < _HOT or hot_rank or (last == _HOT and times < r.hot_repeat):
+        if (
+            last < _HOT
+            or top <= r.hot_rank
+            or best <= r.hot_rank
+            or (last == _HOT and times < r.hot_repeat)
+        ):
             return _HOT
         if (
-            _within(top, r.tepid_rank)
-            or _within(best, r.tepid_rank)
-            or _within(new, r.tepid_rank)
+            top <= r.tepid_rank
+            or best <= r.tepid_rank
+            or new <= r.tepid_rank
             or (last in (CODE["missing"], _FAILED) and times < r.failed_repeat)
         ):
             return _TEPID
@@ -132,6 +148,13 @@ class _Rules:
             return _COLD
         return _FROZEN if last <= _FROZEN else CODE["unexpected"]
 
+    def idle_due(self, story: _Story) -> tuple[int, int]:
+        """When a known story falls due while unranked, and with which status."""
+        if story.idle is None or story.idle[0] < story.at:
+            code = self.next_code(story, _UNRANKED, _UNRANKED, _UNRANKED)
+            story.idle = self.first_due(story, code, story.at), code
+        return story.idle
+
     def first_due(self, story: _Story, code: int, start: int) -> int:
         """Index of the first run from ``start`` on in which the story is due, or the end."""
         end = len(self.timeline)
@@ -161,8 +184,8 @@ class _Rules:
         return i
 
 
-def _within(rank, limit: int) -> bool:
-    return rank is not None and rank <= limit
+def _ints(column: pa.Array, null: int) -> list[int]:
+    return column.fill_null(null).to_numpy(zero_copy_only=False).tolist()
 
 
 def _walk(batches: Iterable[pa.RecordBatch], rules: Ruleset, timeline: list[int]):
@@ -175,13 +198,13 @@ def _walk(batches: Iterable[pa.RecordBatch], rules: Ruleset, timeline: list[int]
         ts = timeline[i]
         story.last_ts, story.code, story.score = ts, code, score
         story.counts[code] += 1
+        story.idle = None
         out.append((_RECORD, story.id, ts, code, score, descendants, payload_ts, None))
 
     def skip_to(story, until):
         """Runs without ranks and without a response: what falls due there has failed."""
         while story.last_ts is not None and story.at < until:
-            code = logic.next_code(story, None, None, None)
-            i = logic.first_due(story, code, story.at)
+            i, _ = logic.idle_due(story)
             if i >= until:
                 break
             record(story, i, _FAILED)
@@ -205,31 +228,40 @@ def _walk(batches: Iterable[pa.RecordBatch], rules: Ruleset, timeline: list[int]
 
     story = None
     for batch in batches:
-        for sid, at, top, best, new, seen, override, score, desc, payload_ts, counts, code in zip(
-            *(column.to_pylist() for column in batch.columns)
-        ):
+        sids, ats, tops, bests, news, answers, scores, comments, ends, counts, codes = batch.columns
+        rows = zip(
+            _ints(sids, 0),
+            _ints(ats, _STORED_STATE),
+            _ints(tops, _UNRANKED),
+            _ints(bests, _UNRANKED),
+            _ints(news, _UNRANKED),
+            _ints(answers, _FAILED),
+        )
+        for row, (sid, at, top, best, new, answer) in enumerate(rows):
             if story is None or story.id != sid:
                 if story is not None:
                     finish(story)
                 story = _Story(sid)
-            if counts is not None:  # the stored state, first of its story
-                story.counts = counts
-                story.last_ts, story.code, story.score = payload_ts, code, score
+            if at == _STORED_STATE:  # first of its story
+                story.counts, story.last_ts = counts[row].as_py(), ends[row].as_py()
+                story.code, story.score = codes[row].as_py(), scores[row].as_py()
                 continue
             i = index.get(at)
             if i is None:
                 continue
             skip_to(story, i)
-            story.at = i + 1
-            if story.last_ts is None and top is None and best is None and new is None:
-                continue  # neither ranked nor known
-            code = logic.next_code(story, top, best, new)
-            if logic.first_due(story, code, i) != i:
-                continue
-            if seen:
-                record(story, i, code if override is None else override, score, desc, payload_ts)
+            if top == best == new == _UNRANKED:
+                if story.last_ts is None:
+                    continue  # neither ranked nor known
+                due, code = logic.idle_due(story)
             else:
-                record(story, i, _FAILED)
+                code = logic.next_code(story, top, best, new)
+                due = logic.first_due(story, code, i)
+            story.at = i + 1
+            if due == i:
+                status = code if answer == _AS_CLASSIFIED else answer
+                result = scores[row].as_py(), comments[row].as_py(), ends[row].as_py()
+                record(story, i, status, *result)
         if len(out) >= 10_000:
             yield flush()
     if story is not None:
@@ -249,8 +281,7 @@ def _inputs(run: DataFrame, items_raw: DataFrame, state: DataFrame | None) -> Da
     responses = items_raw.select(
         "ts_run",
         F.col("id").alias("story_id"),
-        F.lit(True).alias("seen"),
-        outcome_code(payload, F.lit(None).cast("int")).alias("override"),
+        outcome_code(payload, F.lit(_AS_CLASSIFIED)).alias("answer"),
         item_field(F.col("payload"), "score", "int").alias("score"),
         item_field(F.col("payload"), "descendants", "bigint").alias("descendants"),
         _micros("ts_end").alias("payload_ts"),
@@ -262,8 +293,7 @@ def _inputs(run: DataFrame, items_raw: DataFrame, state: DataFrame | None) -> Da
             "story_id",
             _micros("ts_run").alias("at"),
             *RANK_COLUMNS,
-            "seen",
-            "override",
+            "answer",
             "score",
             "descendants",
             "payload_ts",
@@ -278,8 +308,7 @@ def _inputs(run: DataFrame, items_raw: DataFrame, state: DataFrame | None) -> Da
         "story_id",
         F.lit(None).cast("bigint").alias("at"),
         *[null_int.alias(c) for c in RANK_COLUMNS],
-        F.lit(None).cast("boolean").alias("seen"),
-        null_int.alias("override"),
+        null_int.alias("answer"),
         F.col("last_score").alias("score"),
         F.lit(None).cast("bigint").alias("descendants"),
         _micros("last_ts").alias("payload_ts"),
@@ -295,15 +324,17 @@ def replay_block(
 ) -> DataFrame:
     """Records and end states of one block of runs (``timeline``: its run times, micros).
 
-    Nulls sort first, so a story's state precedes its rows.
+    Nulls sort first, so a story's state precedes its rows. The number of partitions is
+    given: sized by bytes alone, adaptive execution would leave the walk too few tasks.
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _walk(batches, rules, timeline)
 
+    parallelism = run.sparkSession.conf.get("spark.sql.shuffle.partitions")
     return (
         _inputs(run, items_raw, state)
-        .repartition("story_id")
+        .repartition(int(parallelism), "story_id")
         .sortWithinPartitions("story_id", "at")
         .mapInArrow(walk, _OUT_DDL)
     )

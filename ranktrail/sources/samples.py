@@ -221,7 +221,7 @@ class Samples:
             F.concat(F.lit("item/"), id_text, F.lit(".json")).alias("url"),
             payload.alias("payload"),
             (F.col("ts_run") + F.expr("make_dt_interval(0, 0, 1, k)")).alias("ts_end"),
-            ((F.col("cents") % 4096) / 1024).alias("duration"),
+            ((F.col("cents") % 4096 + 1024) / 1024).alias("duration"),
             (F.col("story_id") % 3).alias("batch"),
             F.when(case % 31 != 5, F.when(case % 13 == 0, 2).otherwise(0)).alias("retries"),
             F.lit(0.25).alias("batch_failrate"),

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructType
 
 from ..operators.collect import assemble_run, run_errors
 from ..plans.replay import (
@@ -31,12 +32,9 @@ from ..sources.responses import parse_rankings, read_rankings
 from ..sources.tables import run_time
 
 
-def _read(spark: SparkSession, out: str, table: str, schema) -> DataFrame:
-    return spark.read.schema(schema.add("batch", "bigint")).parquet(f"{out}/{table}")
-
-
-def _copy(schema):
-    return type(schema)(list(schema.fields))
+def _read(spark: SparkSession, out: str, table: str, schema: StructType) -> DataFrame:
+    with_batch = StructType([*schema.fields]).add("batch", LongType())
+    return spark.read.schema(with_batch).parquet(f"{out}/{table}")
 
 
 def stream_cycle(
@@ -82,7 +80,7 @@ def _handle(
 
     new, state = batch, None
     if number > 0:
-        recorded = _read(spark, out, "run", _copy(RUN)).filter(F.col("batch") < number)
+        recorded = _read(spark, out, "run", RUN).filter(F.col("batch") < number)
         last = recorded.agg(F.max("ts_run")).first()[0]
         if last is not None:
             newest = run_time(batch, last)
@@ -107,16 +105,16 @@ def _handle(
 
 def collected(spark: SparkSession, out: str) -> Replay:
     """Tables a stream has produced so far."""
-    states = _read(spark, out, "state", _copy(STORY_STATE))
+    states = _read(spark, out, "state", STORY_STATE)
     newest = states.agg(F.max("batch")).scalar()
     return Replay(
-        run=_read(spark, out, "run", _copy(RUN)).drop("batch"),
+        run=_read(spark, out, "run", RUN).drop("batch"),
         run_story=block_records(read_blocks(spark, f"{out}/blocks", "batch")),
-        error=_read(spark, out, "error", _copy(ERROR)).drop("batch"),
+        error=_read(spark, out, "error", ERROR).drop("batch"),
         state=states.filter(F.col("batch") == newest).drop("batch"),
     )
 
 
 def late_runs(spark: SparkSession, out: str) -> DataFrame:
     """Responses of runs that arrived after a later one was recorded."""
-    return _read(spark, out, "late", _copy(RANKINGS_RAW)).drop("batch")
+    return _read(spark, out, "late", RANKINGS_RAW).drop("batch")
