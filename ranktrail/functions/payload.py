@@ -1,8 +1,10 @@
 """Columns over landed JSON text."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schema import JSON_NULL_MARKER
+
 #: Rendering of one response as JSON: every field present, ISO timestamps.
 _JSON_OPTIONS = {
     "ignoreNullFields": "false",
@@ -32,9 +34,22 @@ def id_list(payload: Column) -> Column:
     return F.when(F.size(ids) > 0, ids)
 
 
-def item_field(payload: Column, name: str, dtype: str) -> Column:
-    """One scalar field of an item payload; NULL where absent or not of that type."""
-    return F.get_json_object(payload, f"$.{name}").try_cast(dtype)
+def marked_payload(payload: Column) -> Column:
+    """A landed payload, with a JSON null told apart from no response at all."""
+    return F.when(F.trim(payload) == "null", F.lit(JSON_NULL_MARKER)).otherwise(payload)
+
+
+def json_fields(df: DataFrame, json: str, **fields: str) -> DataFrame:
+    """Add top-level members of a JSON column, cast to the given types.
+
+    The text is parsed once for all of them. A member is NULL where it is absent, not of
+    its type, or where the column holds no object; nested values come as JSON text.
+    """
+    names = list(fields)
+    parsed = F.json_tuple(json, *names).alias(*[f"_{n}" for n in names])
+    return df.select("*", parsed).withColumns(
+        {n: F.col(f"_{n}").try_cast(t) for n, t in fields.items()}
+    ).drop(*[f"_{n}" for n in names])
 
 
 def to_report(fields: list[Column]) -> Column:

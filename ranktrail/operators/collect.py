@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import __version__
-from ..functions.payload import item_field, splice, to_report
+from ..functions.payload import json_fields, splice, to_report
 from ..schema import CODE, DEFAULT_RULESET, JSON_NULL_MARKER, RANKINGS, status_name
 from ..sources.responses import RESPONSE_FIELDS, attach_responses
 
@@ -38,10 +38,14 @@ def run_errors(rankings: DataFrame) -> DataFrame:
     )
 
 
-def outcome_code(payload: Column, otherwise: Column) -> Column:
+#: Members of an item payload that recording reads.
+RECORDED_FIELDS = {"deleted": "string", "score": "int", "descendants": "bigint"}
+
+
+def outcome_code(payload: Column, deleted: Column, otherwise: Column) -> Column:
     """Status after a fetch: what came back overrides what was expected."""
     return (
-        F.when(F.get_json_object(payload, "$.deleted") == "true", CODE["deleted"])
+        F.when(deleted == "true", CODE["deleted"])
         .when(payload == JSON_NULL_MARKER, CODE["missing"])
         .when(payload.isNull(), CODE["failed"])
         .otherwise(otherwise)
@@ -55,12 +59,13 @@ def fetch_outcomes(candidates: DataFrame, responses: DataFrame) -> DataFrame:
     so the landed responses are joined to it directly.
     """
     wanted = candidates.select("ts_run", "story_id", "new_code")
-    return attach_responses(wanted, responses).select(
+    attached = json_fields(attach_responses(wanted, responses), "payload", **RECORDED_FIELDS)
+    return attached.select(
         "ts_run",
         "story_id",
-        outcome_code(F.col("payload"), F.col("new_code")).alias("code"),
-        item_field(F.col("payload"), "score", "int").alias("score"),
-        item_field(F.col("payload"), "descendants", "bigint").alias("descendants"),
+        outcome_code(F.col("payload"), F.col("deleted"), F.col("new_code")).alias("code"),
+        "score",
+        "descendants",
         "url",
         "payload",
         *RESPONSE_FIELDS,

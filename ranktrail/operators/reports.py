@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payload import json_fields
 from ..functions.times import micros_between
 from ..schema import RANKINGS
 from ..sources.tables import before, run_time
@@ -37,10 +38,6 @@ def _status_counts() -> list[Column]:
     return [F.count_if(F.col("status") == s).alias(s) for s in COUNTED]
 
 
-def _retries(report: str = "report") -> Column:
-    return F.get_json_object(report, "$.retries").try_cast("int")
-
-
 def _story_errors(error: DataFrame) -> DataFrame:
     """Errors of story fetches, keyed like ``run_story``.
 
@@ -49,7 +46,7 @@ def _story_errors(error: DataFrame) -> DataFrame:
     return error.filter(F.col("error_source") == "run_story").select(
         "ts_run",
         F.col("source_id").try_cast("bigint").alias("story_id"),
-        (_retries() > 0).alias("retried"),
+        (F.get_json_object("report", "$.retries").try_cast("int") > 0).alias("retried"),
     )
 
 
@@ -123,7 +120,15 @@ def diagnose_errors(run: DataFrame, run_story: DataFrame, error: DataFrame) -> D
     )
     recorded = run_story.select("ts_run", "story_id", "status", "score")
     # ranks are only shown for recorded stories
-    ranked = errors.join(
+    fields = {
+        "ts_end": run.schema["ts_run"].dataType.simpleString(),
+        "duration": "decimal(38,18)",
+        "retries": "int",
+        "batch_failrate": "decimal(38,18)",
+        "url": "string",
+        "payload": "string",
+    }
+    ranked = json_fields(errors, "report", **fields).join(
         recorded.withColumn("_recorded", F.lit(True)), ["ts_run", "story_id"], "left"
     ).join(stories_ranks(run), ["ts_run", "story_id"], "left")
 
@@ -131,9 +136,6 @@ def diagnose_errors(run: DataFrame, run_story: DataFrame, error: DataFrame) -> D
         value = F.when(F.col("_recorded"), F.col(rank)).cast("string")
         return F.coalesce(value, F.lit("*"))
 
-    def field(name: str) -> Column:
-        return F.get_json_object("report", f"$.{name}")
-
     return ranked.select(
         "ts_run",
         "error_source",
@@ -141,12 +143,7 @@ def diagnose_errors(run: DataFrame, run_story: DataFrame, error: DataFrame) -> D
         "status",
         F.concat_ws("/", *[shown(c) for c in RANK_COLUMNS]).alias("rankings"),
         "score",
-        field("ts_end").try_cast(run.schema["ts_run"].dataType).alias("ts_end"),
-        field("duration").try_cast("decimal(38,18)").alias("duration"),
-        _retries().alias("retries"),
-        field("batch_failrate").try_cast("decimal(38,18)").alias("batch_failrate"),
-        field("url").alias("url"),
-        field("payload").alias("payload"),
+        *fields,
     )
 
 

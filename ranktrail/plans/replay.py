@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 import ranktrail
 
-from ..functions.payload import item_field
+from ..functions.payload import json_fields, marked_payload
 from ..operators.collect import (
+    RECORDED_FIELDS,
     assemble_run,
     fetch_outcomes,
     outcome_code,
@@ -34,7 +35,7 @@ from ..operators.collect import (
 )
 from ..operators.ranks import RANK_COLUMNS, stories_ranks
 from ..ruleset import Ruleset
-from ..schema import CODE, COUNT_COLUMNS, JSON_NULL_MARKER, RUN, STATUSES, status_name
+from ..schema import CODE, COUNT_COLUMNS, RUN, STATUSES, status_name
 from ..session import shared_dir
 from ..sources.responses import parse_rankings
 from ..sources.tables import between, read_table, run_time, write_table
@@ -275,15 +276,14 @@ def _micros(column: str):
 
 def _inputs(run: DataFrame, items_raw: DataFrame, state: DataFrame | None) -> DataFrame:
     """Rows for :func:`_walk`: a story's state, then its ranks and responses by run."""
-    payload = F.when(F.trim("payload") == "null", F.lit(JSON_NULL_MARKER)).otherwise(
-        F.col("payload")
-    )
-    responses = items_raw.select(
+    responses = json_fields(items_raw, "payload", **RECORDED_FIELDS).select(
         "ts_run",
         F.col("id").alias("story_id"),
-        outcome_code(payload, F.lit(_AS_CLASSIFIED)).alias("answer"),
-        item_field(F.col("payload"), "score", "int").alias("score"),
-        item_field(F.col("payload"), "descendants", "bigint").alias("descendants"),
+        outcome_code(
+            marked_payload(F.col("payload")), F.col("deleted"), F.lit(_AS_CLASSIFIED)
+        ).alias("answer"),
+        "score",
+        "descendants",
         _micros("ts_end").alias("payload_ts"),
     )
     rows = (

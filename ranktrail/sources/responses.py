@@ -7,8 +7,8 @@ The network client is not part of this library. Responses are read from files of
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.payload import ITEM_FIELDS, id_list
-from ..schema import ITEMS_RAW, JSON_NULL_MARKER, RANKINGS, RANKINGS_RAW
+from ..functions.payload import ITEM_FIELDS, id_list, marked_payload
+from ..schema import ITEMS_RAW, RANKINGS, RANKINGS_RAW
 
 RESPONSE_FIELDS = ["ts_end", "duration", "batch", "retries", "batch_failrate"]
 
@@ -61,13 +61,10 @@ def attach_responses(requests: DataFrame, responses: DataFrame, url: str = ITEM_
     landed = responses.select(
         "ts_run", F.col("id").alias("story_id"), "payload", *RESPONSE_FIELDS
     )
-    payload = F.when(F.trim("payload") == "null", F.lit(JSON_NULL_MARKER)).otherwise(
-        F.col("payload")
-    )
     return (
         requests.join(landed, ["ts_run", "story_id"], "left")
         .withColumn("url", _url(url, F.col("story_id").cast("string")))
-        .withColumn("payload", payload)
+        .withColumn("payload", marked_payload(F.col("payload")))
     )
 
 
