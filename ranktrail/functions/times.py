@@ -4,6 +4,7 @@ Intervals never appear as columns: ages are microseconds (long), thresholds are
 seconds on the driver.
 """
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -91,16 +92,30 @@ def check_time_window(new: Column, old: Column, window: int) -> Column:
     return F.coalesce(inside, F.lit(False))
 
 
-def duration_seconds(text: Column) -> Column:
-    """Seconds in a duration text such as ``'19 minute'``; a month counts 30 days.
-
-    NULL for NULL and for a text that is not a duration.
-    """
-    interval = text.try_cast("interval")
-
-    def part(unit: str) -> Column:
-        return F.extract(F.lit(unit), interval)
-
-    days = (part("YEAR") * 12 + part("MONTH")) * 30 + part("DAY")
-    seconds = (part("HOUR") * 60 + part("MINUTE")) * 60 + part("SECOND")
-    return (days * 86_400 + seconds).cast("double")
+_UNITS = {
+    "second": 1,
+    "minute": 60,
+    "hour": 3_600,
+    "day": 86_400,
+    "week": 7 * 86_400,
+    "month": 30 * 86_400,
+    "year": 360 * 86_400,
+}
+_PART = re.compile(r"([+-]?\d+(?:\.\d+)?)\s*([a-z]+?)s?(?:\s+|$)|(\d+):(\d\d)(?::(\d\d))?\s*$")
+
+
+def duration_seconds(text: str) -> float:
+    """Seconds in a duration text such as ``'19 minute'``; a month counts 30 days."""
+    rest, total = text.strip().lower(), 0.0
+    while rest:
+        part = _PART.match(rest)
+        if not part or (part[2] and part[2] not in _UNITS):
+            raise ValueError(f"not a duration: {text!r}")
+        if part[2]:
+            total += float(part[1]) * _UNITS[part[2]]
+        else:
+            total += int(part[3]) * 3_600 + int(part[4]) * 60 + int(part[5] or 0)
+        rest = rest[part.end() :]
+    if not text.strip():
+        raise ValueError("empty duration")
+    return total

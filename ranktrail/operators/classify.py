@@ -133,7 +133,7 @@ def decode(classified: DataFrame) -> DataFrame:
     names = {"last_code": "last_status", "new_code": "new_status"}
     return classified.select(
         *[
-            status_name(F.col(c)).alias(names[c]) if c in names else F.col(c)
+            status_name(c).alias(names[c]) if c in names else F.col(c)
             for c in classified.columns
         ]
     )

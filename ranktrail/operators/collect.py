@@ -77,7 +77,7 @@ def record_run_story(outcomes: DataFrame) -> DataFrame:
     return outcomes.select(
         "ts_run",
         "story_id",
-        status_name(F.col("code")).alias("status"),
+        status_name("code").alias("status"),
         "score",
         "descendants",
         F.col("ts_end").alias("ts_payload"),

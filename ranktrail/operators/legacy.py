@@ -33,22 +33,17 @@ class LegacyRuleset:
 
 def _last_records(run: DataFrame, run_story: DataFrame) -> DataFrame:
     """Latest record per story with its lifetime count in that status, in one aggregation."""
-    code = status_code(F.col("status"))
-    rows = run_story.select(
-        "story_id", "run_id", code.alias("code"), *[F.col(c) for c in RANK_COLUMNS]
-    )
-    counts = [F.count_if(F.col("code") == c).alias(f"_n{c}") for c in CODE.values()]
+    rows = run_story.select("story_id", "run_id", status_code().alias("code"), *RANK_COLUMNS)
+    counts = [F.expr(f"count_if(code = {c}) AS _n{c}") for c in CODE.values()]
     latest = rows.groupBy("story_id").agg(
         F.max("run_id").alias("last_run_id"),
         F.max_by("code", "run_id").alias("last_code"),
         *[F.max_by(c, "run_id").alias(f"last_{c}") for c in RANK_COLUMNS],
         *counts,
     )
-    repeat = F.when(F.col("last_code") == 0, F.col("_n0"))
-    for c in list(CODE.values())[1:]:
-        repeat = repeat.when(F.col("last_code") == c, F.col(f"_n{c}"))
+    repeat = " ".join(f"WHEN {c} THEN _n{c}" for c in CODE.values())
     return (
-        latest.withColumn("last_status_repeat", repeat)
+        latest.withColumn("last_status_repeat", F.expr(f"CASE last_code {repeat} END"))
         .drop(*[f"_n{c}" for c in CODE.values()])
         .join(
             run.select(F.col("id").alias("last_run_id"), F.col("ts_run").alias("last_ts_run")),
@@ -110,11 +105,12 @@ def classify_rankbump(
     )
     return (
         ranks.join(last, "story_id", "full_outer")
+        .withColumn("code", code)
         .select(
             F.lit(run_id).cast("bigint").alias("run_id"),
             "story_id",
             *RANK_COLUMNS,
-            status_name(code).alias("status"),
+            status_name("code").alias("status"),
             micros_between(F.col("ts_run"), F.col("last_ts_run")).alias("last_age_micros"),
         )
     )

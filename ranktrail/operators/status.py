@@ -15,14 +15,14 @@ def story_state(run_story: DataFrame) -> DataFrame:
     One aggregation on story_id with fixed-width buffers: it is combined before the
     shuffle, so a story with very many records costs no more than any other after it.
     """
-    code = status_code(F.col("status")).alias("code")
+    code = status_code().alias("code")
     records = run_story.select("story_id", "ts_run", "score", code)
     return records.groupBy("story_id").agg(
         F.max("ts_run").alias("last_ts"),
         F.max_by("code", "ts_run").alias("last_code"),
         F.max_by("score", "ts_run").alias("last_score"),
-        *[F.count_if(F.col("code") == c).alias(f"n_{s}") for c, s in enumerate(STATUSES)],
-        F.count_if(F.col("code").isNull()).alias("n_none"),
+        *[F.expr(f"count_if(code = {c}) AS n_{s}") for c, s in enumerate(STATUSES)],
+        F.expr("count_if(code IS NULL) AS n_none"),
     )
 
 
@@ -45,10 +45,8 @@ def merge_states(*states: DataFrame) -> DataFrame:
 
 def status_repeat() -> Column:
     """How often a story was recorded in its last status (over its lifetime)."""
-    arms = F.when(F.col("last_code").isNull(), F.col("n_none"))
-    for code, status in enumerate(STATUSES):
-        arms = arms.when(F.col("last_code") == code, F.col(f"n_{status}"))
-    return arms.cast("int")
+    arms = " ".join(f"WHEN {code} THEN n_{status}" for code, status in enumerate(STATUSES))
+    return F.expr(f"CAST(CASE last_code {arms} ELSE n_none END AS INT)")
 
 
 def stories_status(run: DataFrame, run_story: DataFrame, as_of=None) -> DataFrame:
@@ -60,7 +58,7 @@ def stories_status(run: DataFrame, run_story: DataFrame, as_of=None) -> DataFram
     state = story_state(records).select(
         F.col("last_ts").alias("ts_run"),
         "story_id",
-        status_name(F.col("last_code")).alias("status"),
+        status_name("last_code").alias("status"),
         F.col("last_score").alias("score"),
         status_repeat().alias("status_repeat"),
     )

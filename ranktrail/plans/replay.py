@@ -349,7 +349,7 @@ def block_records(block: DataFrame) -> DataFrame:
     return block.filter(F.col("kind") == _RECORD).select(
         _timestamp("ts").alias("ts_run"),
         "story_id",
-        status_name(F.col("code")).alias("status"),
+        status_name("code").alias("status"),
         "score",
         "descendants",
         _timestamp("payload_ts").alias("ts_payload"),

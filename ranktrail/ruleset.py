@@ -1,7 +1,9 @@
 """Rulesets: twelve parameters that drive classification."""
 
+import json
 from dataclasses import dataclass, fields
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,12 +41,17 @@ PARAMETERS = [f.name for f in fields(Ruleset) if f.name != "name"]
 _AGES = [p for p in PARAMETERS if p.endswith("_age")]
 
 
+def rules_table(spark: SparkSession, rulesets: dict[str, str]) -> DataFrame:
+    """A ``rules`` table from JSON texts by name; a local relation, read without a job."""
+    names = list(rulesets)
+    columns = [names, [schema.RULE_ID] * len(names), ["jsonb"] * len(names), rulesets.values()]
+    table = pa.table([pa.array(c, pa.string()) for c in columns], names=schema.RULES.names)
+    return spark.createDataFrame(table, schema.RULES)
+
+
 def builtin_rules(spark: SparkSession) -> DataFrame:
     """The ``rules`` table as shipped."""
-    rows = [
-        (name, schema.RULE_ID, "jsonb", val) for name, val in schema.BUILTIN_RULESETS.items()
-    ]
-    return spark.createDataFrame(rows, schema.RULES)
+    return rules_table(spark, schema.BUILTIN_RULESETS)
 
 
 def builtin_rulesets(spark: SparkSession) -> DataFrame:
@@ -55,27 +62,21 @@ def builtin_rulesets(spark: SparkSession) -> DataFrame:
 def load_ruleset(rules: DataFrame, name: str = schema.DEFAULT_RULESET) -> Ruleset:
     """Read one ruleset, checking that it exists once and sets every parameter."""
     wanted = (F.col("ruleset_id") == name) & (F.col("id") == schema.RULE_ID)
-    parsed = F.from_json("val", ", ".join(f"{p} string" for p in PARAMETERS))
-    values = [
-        (
-            duration_seconds(F.col(f"p.{p}")) if p in _AGES else F.col(f"p.{p}").try_cast("int")
-        ).alias(p)
-        for p in PARAMETERS
-    ]
-    found = (
-        rules.filter(wanted)
-        .select("val", parsed.alias("p"))
-        .select("val", *values)
-        .limit(2)  # one is expected; a second one is enough to refuse
-        .collect()
-    )
+    # one row is expected; a second one is enough to refuse
+    found = rules.filter(wanted).select("val").limit(2).collect()
     if len(found) != 1:
         count = "no" if not found else "more than one"
         raise RulesetError(f'{count} rule "{schema.RULE_ID}" in ruleset "{name}"')
-    row = found[0]
-    if row["val"] is None:
+    if found[0].val is None:
         raise RulesetError(f'rule "{schema.RULE_ID}" of ruleset "{name}" is NULL')
+    values = json.loads(found[0].val)
+    parameters = {}
     for parameter in PARAMETERS:
-        if row[parameter] is None:
-            raise RulesetError(f'parameter {parameter} of ruleset "{name}" is NULL or unreadable')
-    return Ruleset(name, *[row[p] for p in PARAMETERS])
+        if values.get(parameter) is None:
+            raise RulesetError(f'parameter {parameter} of ruleset "{name}" is NULL')
+        read = duration_seconds if parameter in _AGES else int
+        try:
+            parameters[parameter] = read(values[parameter])
+        except (TypeError, ValueError) as error:
+            raise RulesetError(f'parameter {parameter} of ruleset "{name}": {error}') from error
+    return Ruleset(name, **parameters)

@@ -79,17 +79,19 @@ MIGRATED_RULESET = "unknown"
 CODE = {name: code for code, name in enumerate(STATUSES)}
 
 
-def status_code(status: Column) -> Column:
-    """Int code of a status name; NULL for NULL and for an unknown name."""
-    arms = F.when(status == STATUSES[0], F.lit(0))
-    for name, code in list(CODE.items())[1:]:
-        arms = arms.when(status == name, F.lit(code))
-    return arms
+# The next two are SQL text because they sit in every plan: one call builds the expression.
 
 
-def status_name(code: Column) -> Column:
+def status_code(status: str = "status") -> Column:
+    """Int code of a status column; NULL for NULL and for an unknown name."""
+    arms = " ".join(f"WHEN '{name}' THEN {code}" for name, code in CODE.items())
+    return F.expr(f"CASE {status} {arms} END")
+
+
+def status_name(code: str) -> Column:
     """Inverse of :func:`status_code`."""
-    return F.try_element_at(F.array(*[F.lit(s) for s in STATUSES]), code + 1)
+    names = ", ".join(f"'{name}'" for name in STATUSES)
+    return F.expr(f"try_element_at(array({names}), {code} + 1)")
 
 
 def checked_status(status: Column) -> Column:

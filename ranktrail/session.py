@@ -17,6 +17,8 @@ def get_spark(app: str = "ranktrail", master: str | None = None, **conf) -> Spar
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # recording a call site per column expression doubles the time to build a plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.ranks import RANK_COLUMNS, stories_ranks
+from ..ruleset import rules_table
 from ..schema import STATUSES
 from ..session import shared_dir
 from .tables import read_table, write_table
@@ -35,11 +36,7 @@ WINDOW_RULES = BENCH_RULES.replace('"7 day"', '"6 hour"').replace(
 
 
 def sample_rules(spark: SparkSession) -> DataFrame:
-    rows = [
-        ("bench", "run_story_param", "jsonb", BENCH_RULES),
-        ("bench_window", "run_story_param", "jsonb", WINDOW_RULES),
-    ]
-    return spark.createDataFrame(rows, "ruleset_id string, id string, type_val string, val string")
+    return rules_table(spark, {"bench": BENCH_RULES, "bench_window": WINDOW_RULES})
 
 
 def _ntz(ts: Column) -> Column:
