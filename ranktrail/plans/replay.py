@@ -453,7 +453,7 @@ def replay_history(
     folder = shared_dir(spark, "replay")
     rankings = parse_rankings(rankings_raw)
     write_table(assemble_run(rankings, rules.name).select(*RUN.names), f"{folder}/run")
-    runs = read_table(spark, f"{folder}/run")
+    runs = read_table(spark, f"{folder}/run", RUN)
     if state is not None:
         state = visible_state(run, state)
     state = replay_blocks(runs, items_raw, rules, state, f"{folder}/blocks", block_runs)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
 
 from ..functions.times import moment
 
@@ -24,8 +25,12 @@ def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Read a stored table; with a schema also one nothing was written to yet."""
+    if schema is None:
+        return spark.read.parquet(path)
+    with_day = StructType([*schema.fields]).add(DAY_COLUMN, DateType())
+    return spark.read.schema(with_day).parquet(path)
 
 
 def up_to(df: DataFrame, ts_run) -> DataFrame:

@@ -1,0 +1,189 @@
+import random
+from datetime import timedelta
+
+import pytest
+from conftest import START, at, rows, rules
+
+from ranktrail import schema
+from ranktrail.operators.status import story_state
+from ranktrail.plans.cycle import run_cycle
+from ranktrail.plans.replay import replay_history
+from ranktrail.schema import ITEMS_RAW, RANKINGS, RANKINGS_RAW
+from ranktrail.streaming.live import collected, late_runs, stream_cycle
+
+ERROR_KEY = ("ts_run", "error_source", "source_id", "report")
+
+
+def landed(spark, seed, times, stories=9):
+    """Random landed lists and responses for runs at the given times."""
+    rng = random.Random(seed)
+    lists, items = [], []
+    for t in times:
+        for name in RANKINGS:
+            ids = rng.sample(range(stories), rng.randrange(0, 5))
+            payload = rng.choice([str(ids), str(ids), str(ids), None])
+            if rng.random() < 0.9:
+                lists.append((t, name, "u", payload, t, 0.5, 1, rng.choice([0, 0, 1]), 0.0))
+        if not any(row[0] == t for row in lists):
+            lists.append((t, "topstories", "u", "[1]", t, 0.5, 1, 0, 0.0))
+        for story in range(stories):
+            if rng.random() < 0.7:
+                payload = rng.choice(['{"score":%d,"descendants":3}' % rng.randrange(90)] * 6 + ["null", None, '{"deleted":true}'])
+                items.append((t, story, "u", payload, t + timedelta(seconds=1), 0.5, 1, rng.choice([0, 0, None, 2]), 0.0))
+    return spark.createDataFrame(lists, RANKINGS_RAW), spark.createDataFrame(items, ITEMS_RAW)
+
+
+def uneven(count, seed, step=30):
+    """Run times with gaps, crossing month ends."""
+    rng = random.Random(seed)
+    t, out = START, []
+    for _ in range(count):
+        t += timedelta(minutes=rng.choice([5, 5, step, 60 * step]))
+        out.append(t)
+    return out
+
+
+SHORT = rules(new_repeat=1, hot_repeat=2, cooling_repeat=2, cold_repeat=2, failed_repeat=3)
+CASES = {
+    "plain": (SHORT, 30),
+    "window": (
+        rules(new_repeat=1, hot_repeat=1, cooling_repeat=1, cold_repeat=1, failed_repeat=9,
+              cooling_age=60.0, cold_age=60.0, frozen_age=86_400.0, frozen_window=14_400),
+        10,
+    ),
+    "calendar": (
+        rules(new_repeat=1, hot_repeat=1, cooling_repeat=1, cold_repeat=1, failed_repeat=9,
+              cooling_age=60.0, cold_age=60.0, frozen_age=30 * 86_400.0),
+        120,
+    ),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_replay_equals_cycles_one_by_one(spark, case):
+    settings, step = CASES[case]
+    times = uneven(14, case, step)
+    lists, items = landed(spark, case, times)
+    run = spark.createDataFrame([], schema.RUN)
+    story = spark.createDataFrame([], schema.RUN_STORY)
+    errors = []
+    for t in times:
+        cycle = run_cycle(lists, items, run, story, settings, t)
+        # plain local tables between cycles keep the plans small
+        run = spark.createDataFrame(run.collect() + cycle.run.collect(), schema.RUN)
+        story = spark.createDataFrame(story.collect() + cycle.run_story.collect(), schema.RUN_STORY)
+        errors += [tuple(r) for r in cycle.error.select(*ERROR_KEY).collect()]
+    replay = replay_history(lists, items, settings, block_runs=5)
+    assert rows(replay.run_story, *schema.RUN_STORY.names) == rows(story)
+    assert rows(replay.run, *schema.RUN.names) == rows(run)
+    assert rows(replay.error, *ERROR_KEY) == sorted(errors)
+    state = story_state(story)
+    assert rows(replay.state, *state.columns) == rows(state)
+
+
+def test_blocks_do_not_matter(spark):
+    lists, items = landed(spark, 5, uneven(25, 5))
+    whole = replay_history(lists, items, SHORT)
+    for size in (7, 24, 25):
+        parts = replay_history(lists, items, SHORT, block_runs=size)
+        assert rows(parts.run_story) == rows(whole.run_story)
+        assert rows(parts.state) == rows(whole.state)
+
+
+def test_replay_continues_from_a_stored_state(spark):
+    times = uneven(20, 6)
+    lists, items = landed(spark, 6, times)
+    whole = replay_history(lists, items, SHORT)
+    cut = times[9]
+    first = replay_history(lists.filter(lists.ts_run <= cut), items, SHORT)
+    second = replay_history(
+        lists.filter(lists.ts_run > cut), items, SHORT, run=first.run, state=first.state
+    )
+    assert rows(first.run_story.union(second.run_story)) == rows(whole.run_story)
+    assert rows(second.state) == rows(whole.state)
+
+
+def test_state_without_its_run_counts_as_new(spark):
+    """As in a single cycle: the record's run row is gone, its counts are not."""
+    lists = spark.createDataFrame(
+        [(at(5), "topstories", "u", "[1]", at(5), 0.5, 1, 0, 0.0)], RANKINGS_RAW
+    )
+    items = spark.createDataFrame(
+        [(at(5), s, "u", '{"score":1}', at(5), 0.5, 1, 0, 0.0) for s in (1, 2)], ITEMS_RAW
+    )
+    past = spark.createDataFrame(
+        [(START, 1, "hot", 3, 3, START), (START, 2, "hot", 3, 3, START)], schema.RUN_STORY
+    )
+    no_run = spark.createDataFrame([], schema.RUN)
+    got = replay_history(lists, items, SHORT, run=no_run, state=story_state(past))
+    cycle = run_cycle(lists, items, no_run, past, SHORT)
+    assert rows(got.run_story) == rows(cycle.run_story)
+    assert [r[1:3] for r in rows(got.run_story)] == [(1, "new")]
+
+
+def test_nothing_to_replay(spark):
+    empty = spark.createDataFrame([], RANKINGS_RAW)
+    with pytest.raises(ValueError, match="no landed"):
+        replay_history(empty, spark.createDataFrame([], ITEMS_RAW), SHORT)
+
+
+# --- stream ---------------------------------------------------------------------------------
+
+
+def land(df, folder, times):
+    """One file with the lists of some runs."""
+    df.filter(df.ts_run.isin(times)).coalesce(1).write.mode("append").json(str(folder / "landing"))
+
+
+def run_stream(spark, items, folder, **options):
+    query = stream_cycle(
+        spark, str(folder / "landing"), lambda: items, SHORT, str(folder / "out"), **options
+    )
+    query.awaitTermination()
+
+
+def test_stream_in_one_file_or_many_equals_replay(spark, tmp_path):
+    times = uneven(9, 7)
+    lists, items = landed(spark, 7, times)
+    want = replay_history(lists, items, SHORT)
+    for name, slices in (("one", [times]), ("many", [times[:4], times[4:5], times[5:]])):
+        folder = tmp_path / name
+        for part in slices:
+            land(lists, folder, part)
+            run_stream(spark, items, folder)
+        got = collected(spark, str(folder / "out"))
+        assert rows(got.run_story, *schema.RUN_STORY.names) == rows(want.run_story)
+        assert rows(got.run, *schema.RUN.names) == rows(want.run, *schema.RUN.names)
+        assert rows(got.error, *ERROR_KEY) == rows(want.error, *ERROR_KEY)
+        assert rows(got.state, *want.state.columns) == rows(want.state)
+
+
+def test_late_and_repeated_runs(spark, tmp_path):
+    times = uneven(6, 8)
+    lists, items = landed(spark, 8, times)
+    kept = [t for t in times if t != times[2]]
+    land(lists, tmp_path, kept[:4])
+    run_stream(spark, items, tmp_path)
+    land(lists, tmp_path, [times[2], kept[3]])  # one late, one already recorded
+    run_stream(spark, items, tmp_path)
+    land(lists, tmp_path, kept[4:])
+    run_stream(spark, items, tmp_path)
+    got = collected(spark, str(tmp_path / "out"))
+    want = replay_history(lists.filter(lists.ts_run.isin(kept)), items, SHORT)
+    assert rows(got.run_story, *schema.RUN_STORY.names) == rows(want.run_story)
+    assert {r.ts_run for r in late_runs(spark, str(tmp_path / "out")).collect()} == {times[2]}
+
+
+def test_batch_run_again_changes_nothing(spark, tmp_path):
+    """A batch that failed after writing is handled anew on restart."""
+    from ranktrail.streaming.live import _handle
+
+    times = uneven(6, 9)
+    lists, items = landed(spark, 9, times)
+    out = str(tmp_path / "out")
+    first, second = (lists.filter(lists.ts_run.isin(t)) for t in (times[:3], times[3:]))
+    _handle(first, 0, items, SHORT, out, 2)
+    _handle(second, 1, items, SHORT, out, 2)
+    once = rows(collected(spark, out).run_story)
+    _handle(second, 1, items, SHORT, out, 2)
+    assert rows(collected(spark, out).run_story) == once
