@@ -45,17 +45,24 @@ def before(df: DataFrame, ts_run) -> DataFrame:
 
 def at(df: DataFrame, ts_run) -> DataFrame:
     """Rows of one run; reads its day only."""
-    return between(df, ts_run, ts_run)
+    return _compare(df, "__eq__", ts_run)
 
 
 def between(df: DataFrame, low, high) -> DataFrame:
     """Rows of runs in a closed range; an end that is None is open."""
-    for value, keep in ((low, "__ge__"), (high, "__le__")):
-        if value is not None:
-            limit = run_time(df, value)
-            df = df.filter(getattr(F.col("ts_run"), keep)(limit))
-            if DAY_COLUMN in df.columns:
-                df = df.filter(getattr(F.col(DAY_COLUMN), keep)(F.to_date(limit)))
+    if low is not None:
+        df = _compare(df, "__ge__", low)
+    if high is not None:
+        df = _compare(df, "__le__", high)
+    return df
+
+
+def _compare(df: DataFrame, operator: str, value) -> DataFrame:
+    """Filter on the run time, and alike on its day where the table is stored by day."""
+    limit = run_time(df, value)
+    df = df.filter(getattr(F.col("ts_run"), operator)(limit))
+    if DAY_COLUMN in df.columns:
+        df = df.filter(getattr(F.col(DAY_COLUMN), operator)(F.to_date(limit)))
     return df
 
 
