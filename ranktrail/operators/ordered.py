@@ -1,9 +1,9 @@
 """Neighbours in time over a whole table, without one task seeing all of it.
 
 A window ordered over everything would pull every row into one partition. Here rows
-are cut into buckets of time (a day by default); a window works within a bucket, and
-what it needs from other buckets comes from a summary with one row per bucket, whose
-length is the number of days covered and does not depend on the data.
+are cut into buckets of time (an hour by default); a window works within a bucket, and
+what it needs from other buckets comes from a summary with one row per bucket: at most
+one per hour covered (8,766 a year), however many rows there are.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ def _bucket(seconds: int) -> Column:
     return F.floor(F.unix_micros(F.col("ts_run").cast("timestamp")) / (seconds * 1_000_000))
 
 
-def neighbours(runs: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
+def neighbours(runs: DataFrame, bucket_seconds: int = 3_600) -> DataFrame:
     """Previous and next timestamp of every distinct ``ts_run``."""
     rows = runs.select("ts_run", _bucket(bucket_seconds).alias(_BUCKET))
     within = W.partitionBy(_BUCKET).orderBy("ts_run")
@@ -44,7 +44,7 @@ def neighbours(runs: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
 
 
 def latest_before(
-    points: DataFrame, recorded: DataFrame, bucket_seconds: int = 86_400
+    points: DataFrame, recorded: DataFrame, bucket_seconds: int = 3_600
 ) -> DataFrame:
     """For every ``ts_run`` of ``points`` the greatest strictly earlier one in ``recorded``."""
     # a timestamp once per side first: many records share one run

@@ -113,7 +113,10 @@ def _listed(name: str) -> Column:
 
 
 def diagnose_errors(run: DataFrame, run_story: DataFrame, error: DataFrame) -> DataFrame:
-    """Errors with the story's status, score and ranks, and the parsed report."""
+    """Errors with the story's status, score and ranks, and the parsed report.
+
+    Lists are only taken apart for runs that have errors.
+    """
     errors = in_known_runs(error, run).withColumn(
         "story_id",
         F.when(F.col("error_source") == "run_story", F.col("source_id").try_cast("bigint")),
@@ -130,7 +133,7 @@ def diagnose_errors(run: DataFrame, run_story: DataFrame, error: DataFrame) -> D
     }
     ranked = json_fields(errors, "report", **fields).join(
         recorded.withColumn("_recorded", F.lit(True)), ["ts_run", "story_id"], "left"
-    ).join(stories_ranks(run), ["ts_run", "story_id"], "left")
+    ).join(stories_ranks(run, error), ["ts_run", "story_id"], "left")
 
     def shown(rank: str) -> Column:
         value = F.when(F.col("_recorded"), F.col(rank)).cast("string")

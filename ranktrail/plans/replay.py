@@ -425,7 +425,8 @@ def replay_blocks(
             between(run, low, high), between(items_raw, low, high), rules, timeline, state
         )
         path = f"{folder}/block={number}"
-        block.write.mode("overwrite").partitionBy("kind").parquet(path)
+        # few tasks' worth of output in a live cycle, many in a long replay: let sizes decide
+        block.hint("rebalance", "kind").write.mode("overwrite").partitionBy("kind").parquet(path)
         state = block_state(spark.read.schema(_OUT_DDL).parquet(path))
         after, number = high, number + 1
     return state

@@ -4,7 +4,11 @@ Each micro-batch holds the landed lists of one or more new runs. They are folded
 state the previous batch left, and everything a batch produces goes to directories of its
 own that a repeated batch overwrites, so a restart neither loses nor doubles rows:
 
-    run/batch=N  blocks/batch=N  error/batch=N  state/batch=N  late/batch=N
+    run/batch=N  blocks/batch=N  error/batch=N  state/batch=N  late/batch=N  progress/batch=N
+
+A batch reads the state and progress of the batch before it, never the whole history, so
+a cycle costs the same after years. Many small batches leave many small files; once in a
+while ``export_tables`` over :func:`collected` stores them by day.
 
 Statuses depend on order. A run older than the last recorded one is set aside in ``late``;
 a run that is already recorded is skipped.
@@ -32,6 +36,9 @@ from ..sources.responses import parse_rankings, read_rankings
 from ..sources.tables import run_time
 
 
+_PROGRESS = "last_ts timestamp_ntz"
+
+
 def _read(spark: SparkSession, out: str, table: str, schema: StructType) -> DataFrame:
     with_batch = StructType([*schema.fields]).add("batch", LongType())
     return spark.read.schema(with_batch).parquet(f"{out}/{table}")
@@ -78,22 +85,24 @@ def _handle(
         df.write.mode("overwrite").parquet(path)
         return path
 
-    new, state = batch, None
+    new, state, last = batch, None, None
     if number > 0:
-        recorded = _read(spark, out, "run", RUN).filter(F.col("batch") < number)
-        last = recorded.agg(F.max("ts_run")).first()[0]
-        if last is not None:
-            newest = run_time(batch, last)
-            new = batch.filter(F.col("ts_run") > newest)
-            late = batch.filter(F.col("ts_run") <= newest).join(
-                recorded.select("ts_run"), "ts_run", "left_anti"
-            )
-            write(late.select(*RANKINGS_RAW.names), "late")
+        progress = spark.read.schema(_PROGRESS).parquet(f"{out}/progress/batch={number - 1}")
+        last = progress.first()["last_ts"]
         state = spark.read.schema(STORY_STATE).parquet(f"{out}/state/batch={number - 1}")
+    if last is not None:
+        newest = run_time(batch, last)
+        new, behind = batch.filter(F.col("ts_run") > newest), batch.filter(F.col("ts_run") <= newest)
+        if not behind.isEmpty():  # rare: only then the runs so far are looked at
+            recorded = _read(spark, out, "run", RUN).filter(F.col("batch") < number)
+            late = behind.join(recorded.select("ts_run"), "ts_run", "left_anti")
+            write(late.select(*RANKINGS_RAW.names), "late")
     rankings = parse_rankings(new)
     runs = spark.read.schema(RUN).parquet(
         write(assemble_run(rankings, rules.name).select(*RUN.names), "run")
     )
+    carried = F.lit(None if last is None else str(last)).cast("timestamp_ntz")
+    write(runs.agg(F.coalesce(F.max("ts_run"), carried).alias("last_ts")), "progress")
     blocks = f"{out}/blocks/batch={number}"
     after = replay_blocks(runs, items, rules, state, blocks, block_runs)
     write(spark.createDataFrame([], STORY_STATE) if after is None else after, "state")
@@ -116,5 +125,8 @@ def collected(spark: SparkSession, out: str) -> Replay:
 
 
 def late_runs(spark: SparkSession, out: str) -> DataFrame:
-    """Responses of runs that arrived after a later one was recorded."""
+    """Responses of runs that arrived after a later one was recorded.
+
+    Fails with path-not-found as long as there are none.
+    """
     return _read(spark, out, "late", RANKINGS_RAW).drop("batch")
