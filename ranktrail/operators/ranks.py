@@ -60,12 +60,24 @@ def with_ranks(rows: DataFrame, run: DataFrame) -> DataFrame:
     """Add the three ranks a story had in the run of each (ts_run, story_id) row.
 
     Rows whose run is not in ``run`` are dropped. Ranks are looked up by joining on
-    (ts_run, story_id) instead of scanning the run's arrays once per row: the key
-    is unique, so no run and no story can make it skewed.
+    (ts_run, story_id) instead of scanning the run's lists once per row: the key is
+    unique, so no run and no story can make it skewed, and long lists do not matter.
     """
     return in_known_runs(rows, run).join(stories_ranks(run), ["ts_run", "story_id"], "left")
 
 
+def with_few_ranks(rows: DataFrame, run: DataFrame) -> DataFrame:
+    """The same for rows that are few per run, such as one per story over its lifetime.
+
+    Taking apart every list would cost more than searching the lists of the runs that
+    occur: measured, the break-even is at several hundred rows per run. A run that many
+    rows share is split by adaptive execution.
+    """
+    lists = run.select("ts_run", *RANKINGS)
+    ranks = {f"{n}_rank": position(n, F.col("story_id")) for n in RANKINGS}
+    return rows.join(lists, "ts_run").withColumns(ranks).drop(*RANKINGS)
+
+
 def in_known_runs(rows: DataFrame, run: DataFrame) -> DataFrame:
     """Rows whose run is recorded.
 

@@ -8,7 +8,7 @@ from ..functions.times import micros_between
 from ..schema import RANKINGS
 from ..sources.tables import before, run_time
 from .ordered import neighbours
-from .ranks import RANK_COLUMNS, in_known_runs, stories_ranks
+from .ranks import RANK_COLUMNS, stories_ranks, with_few_ranks
 
 #: Statuses with a count column, in report order.
 COUNTED = ("new", "hot", "tepid", "cooling", "cold", "frozen", "deleted", "missing", "failed")
@@ -115,14 +115,15 @@ def _listed(name: str) -> Column:
 def diagnose_errors(run: DataFrame, run_story: DataFrame, error: DataFrame) -> DataFrame:
     """Errors with the story's status, score and ranks, and the parsed report.
 
-    Lists are only taken apart for runs that have errors.
+    Errors are rare, so their ranks are read off the lists.
     """
-    errors = in_known_runs(error, run).withColumn(
-        "story_id",
-        F.when(F.col("error_source") == "run_story", F.col("source_id").try_cast("bigint")),
-    )
+    number = F.col("source_id").try_cast("bigint")
+    # IDs match as text: "07" is not story 7
+    same = (F.col("error_source") == "run_story") & (number.cast("string") == F.col("source_id"))
+    of_story = F.when(same, number)
+    errors = with_few_ranks(error.withColumn("story_id", of_story), run)
     recorded = run_story.select("ts_run", "story_id", "status", "score")
-    # ranks are only shown for recorded stories
+    # their story's ranks are only shown if it was recorded
     fields = {
         "ts_end": run.schema["ts_run"].dataType.simpleString(),
         "duration": "decimal(38,18)",
@@ -133,7 +134,7 @@ def diagnose_errors(run: DataFrame, run_story: DataFrame, error: DataFrame) -> D
     }
     ranked = json_fields(errors, "report", **fields).join(
         recorded.withColumn("_recorded", F.lit(True)), ["ts_run", "story_id"], "left"
-    ).join(stories_ranks(run, error), ["ts_run", "story_id"], "left")
+    )
 
     def shown(rank: str) -> Column:
         value = F.when(F.col("_recorded"), F.col(rank)).cast("string")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..schema import COUNT_COLUMNS, STATUSES, status_code, status_name
 from ..sources.tables import before, up_to
 from .ordered import latest_before
-from .ranks import RANK_COLUMNS, in_known_runs, with_ranks
+from .ranks import RANK_COLUMNS, in_known_runs, with_few_ranks
 
 
 def story_state(run_story: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def stories_status(run: DataFrame, run_story: DataFrame, as_of=None) -> DataFram
         F.col("last_score").alias("score"),
         status_repeat().alias("status_repeat"),
     )
-    return with_ranks(state, run).select(
+    return with_few_ranks(state, run).select(
         "ts_run", "story_id", *RANK_COLUMNS, "status", "score", "status_repeat"
     )
 

@@ -3,12 +3,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from ranktrail.operators.ranks import (
+    RANK_COLUMNS,
     data_cube,
     max_item_id,
     rebuild_run_arrays,
     stories_ranks,
     story_timeline,
     top_n_from_json,
+    with_few_ranks,
+    with_ranks,
 )
 from ranktrail.schema import RANKINGS, RANKINGS_RAW
 
@@ -75,3 +78,11 @@ def test_max_item_id(runs, records):
     run = runs((START, None, [4, 11], [2]))
     assert rows(max_item_id(run, records((START, 9, "new")))) == [(11,)]
     assert rows(max_item_id(run, records((START, 19, "new")))) == [(19,)]
+
+
+def test_both_lookups_agree(runs, records):
+    run = runs((START, [1, 2, 1], [2], None), (at(5), None, [9, 1], []))
+    story = records(*[(t, s, "hot") for t in (START, at(5), at(9)) for s in (1, 2, 9, 10)])
+    columns = ["ts_run", "story_id", *RANK_COLUMNS]
+    assert rows(with_few_ranks(story, run), *columns) == rows(with_ranks(story, run), *columns)
+    assert with_few_ranks(story, run).count() == 8
