@@ -245,7 +245,7 @@ def filter_rankbump(s):
 
 @_query
 def stats_run(s):
-    return reports.stats_run(s.run).drop("pointage")
+    return reports.stats_run(s.run).drop("pointage", "database", "extversion")
 
 
 @_query

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import __version__
 from ..functions.payload import json_fields
 from ..functions.times import micros_between
 from ..schema import RANKINGS
@@ -21,9 +22,11 @@ def stats_run(run: DataFrame, as_of: Column | None = None) -> DataFrame:
     now = F.current_timestamp() if as_of is None else as_of
     return run.agg(F.min("ts_run").alias("first"), F.max("ts_run").alias("last")).select(
         F.date_format(now, _TIME_TEXT).alias("pointage"),
+        F.current_database().alias("database"),
         _utc_offset(F.col("last")).alias("diff_utc_seconds"),
         F.date_format("first", _TIME_TEXT).alias("min_ts_utc"),
         F.date_format("last", _TIME_TEXT).alias("max_ts_utc"),
+        F.lit(__version__).alias("extversion"),
         micros_between(F.col("last"), F.col("first")).alias("active_micros"),
     )
 
@@ -51,7 +54,11 @@ def _story_errors(error: DataFrame) -> DataFrame:
 
 
 def stats_run_story(run_story: DataFrame, error: DataFrame) -> DataFrame:
-    """Per run: records in each status, retried fetches, total and fetch duration."""
+    """Per run: records in each status, retried fetches, total and fetch duration.
+
+    The three list columns are placeholders without a value, kept for their place in the
+    report; :func:`stats_run_story_coverage` fills them.
+    """
     rows = run_story.select("ts_run", "story_id", "status", "ts_payload")
     return (
         rows.join(_story_errors(error), ["ts_run", "story_id"], "left")
@@ -62,8 +69,14 @@ def stats_run_story(run_story: DataFrame, error: DataFrame) -> DataFrame:
             F.count("*").alias("total_count"),
             F.max("ts_payload").alias("_end"),
         )
-        .withColumn("fetch_micros", micros_between(F.col("_end"), F.col("ts_run")))
-        .drop("_end")
+        .select(
+            "ts_run",
+            *[F.lit(None).cast("string").alias(n) for n in RANKINGS],
+            *COUNTED,
+            "retried_count",
+            "total_count",
+            micros_between(F.col("_end"), F.col("ts_run")).alias("fetch_micros"),
+        )
     )
 
 

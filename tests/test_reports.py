@@ -23,7 +23,8 @@ def test_stats_run(runs):
     run = runs((START, None, None, None), (at(90), None, None, None))
     got = stats_run(run, F.lit("2024-02-01 10:00:00").cast("timestamp")).first()
     assert tuple(got) == (
-        "2024-02-01 10:00:00", 0, "2024-01-10 00:00:00", "2024-01-10 01:30:00", 90 * 60_000_000,
+        "2024-02-01 10:00:00", "default", 0, "2024-01-10 00:00:00", "2024-01-10 01:30:00", "0.1.0",
+        90 * 60_000_000,
     )
     assert stats_run(runs()).first().min_ts_utc is None
 
