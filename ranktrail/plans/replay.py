@@ -46,7 +46,8 @@ BLOCK_RUNS = 100_000
 _NEW, _HOT, _TEPID, _COOLING, _COLD = range(5)
 _FROZEN, _FAILED = CODE["frozen"], CODE["failed"]
 _SECOND = 1_000_000
-_DAY = 86_400 * _SECOND
+_HOUR = 3_600 * _SECOND
+_DAY = 24 * _HOUR
 _EPOCH = datetime(1970, 1, 1)
 _NONE_COUNT = len(STATUSES)
 
@@ -400,14 +401,50 @@ class Replay:
     state: DataFrame
 
 
-def next_runs(run: DataFrame, after: datetime | None, count: int) -> list[int]:
-    """Times (micros) of the next ``count`` runs; that many longs on the driver, no more."""
+def _windows(run: DataFrame, block_runs: int) -> list[tuple[int, int]]:
+    """Stretches of whole hours, in order, with at most ``block_runs`` runs where possible.
+
+    The driver sees one count per hour covered. A single hour with more runs is a stretch
+    of its own.
+    """
+    hour = F.floor(_micros("ts_run") / _HOUR).alias("hour")
+    counts = run.groupBy(hour).count().orderBy("hour").collect()
+    windows, size = [], 0
+    for row in counts:
+        low, high = row["hour"] * _HOUR, (row["hour"] + 1) * _HOUR - 1
+        if windows and size + row["count"] <= block_runs:
+            windows[-1] = windows[-1][0], high
+            size += row["count"]
+        else:
+            windows.append((low, high))
+            size = row["count"]
+    return windows
+
+
+def _next_runs(run: DataFrame, after: datetime | None, count: int) -> list[int]:
+    """Times (micros) of the next ``count`` runs of a stretch: that many longs, no more."""
     if after is not None:
-        run = between(run, after, None).filter(F.col("ts_run") > run_time(run, after))
+        run = run.filter(F.col("ts_run") > run_time(run, after))
     times = run.select(_micros("ts_run").alias("t")).orderBy("t").limit(count)
     return [row.t for row in times.collect()]
 
 
+def _timelines(run: DataFrame, block_runs: int) -> Iterator[list[int]]:
+    """The run times of one block after the other."""
+    for low, high in _windows(run, block_runs):
+        stretch = between(run, _moment(low), _moment(high))
+        timeline = _next_runs(stretch, None, block_runs)
+        while timeline:
+            yield timeline
+            if len(timeline) < block_runs:
+                break
+            timeline = _next_runs(stretch, _moment(timeline[-1]), block_runs)
+
+
+def _moment(micros: int) -> datetime:
+    return _EPOCH + timedelta(microseconds=micros)
+
+
 def replay_blocks(
     run: DataFrame,
     items_raw: DataFrame,
@@ -418,9 +455,8 @@ def replay_blocks(
 ) -> DataFrame | None:
     """Fold ``run`` block by block into ``folder``; returns the state after the last one."""
     spark = run.sparkSession
-    after, number = None, 0
-    while timeline := next_runs(run, after, block_runs):
-        low, high = (_EPOCH + timedelta(microseconds=t) for t in (timeline[0], timeline[-1]))
+    for number, timeline in enumerate(_timelines(run, block_runs)):
+        low, high = _moment(timeline[0]), _moment(timeline[-1])
         block = replay_block(
             between(run, low, high), between(items_raw, low, high), rules, timeline, state
         )
@@ -428,7 +464,6 @@ def replay_blocks(
         # few tasks' worth of output in a live cycle, many in a long replay: let sizes decide
         block.hint("rebalance", "kind").write.mode("overwrite").partitionBy("kind").parquet(path)
         state = block_state(spark.read.schema(_OUT_DDL).parquet(path))
-        after, number = high, number + 1
     return state
 
 

@@ -187,3 +187,16 @@ def test_batch_run_again_changes_nothing(spark, tmp_path):
     once = rows(collected(spark, out).run_story)
     _handle(second, 1, items, SHORT, out, 2)
     assert rows(collected(spark, out).run_story) == once
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 100])
+def test_blocks_cover_every_run_once(runs, size):
+    from ranktrail.plans.replay import _timelines, _windows
+
+    minutes = [0, 1, 2, 3, 4, 70, 200, 201, 202, 500]  # five runs in one hour
+    run = runs(*[(at(m), None, None, None) for m in minutes])
+    blocks = list(_timelines(run, size))
+    flat = [t for block in blocks for t in block]
+    assert flat == sorted(flat) and len(flat) == len(minutes)
+    assert all(len(block) <= size for block in blocks)
+    assert len(_windows(run, size)) <= 4  # never more than the hours with runs
