@@ -37,6 +37,12 @@ SMALL = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
 
+try:  # the package for training-data pipelines may be absent
+    import corpus_pipeline
+    from ranktrail.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+
 
 def _query(function: Callable[[Samples], DataFrame]) -> Callable[[Samples], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +58,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_registered)
+    if llm_queries is None:
+        return dict(_registered)
+    return _registered | llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    if llm_queries is None:
+        return oracle.oracle_sql()
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracle.oracle_sql() | llm_queries.SQL | own
 
 
 def _rules(s: Samples, name: str = "bench"):
