@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from ranktrail.llm import bestfit, mixing, packing
+from ranktrail.llm import (
+    bestfit,
+    extraction,
+    metricjoin,
+    mixing,
+    packing,
+    quality,
+    revisits,
+    urlfilter,
+)
 
 QUERIES = {
     "op1_pack_token_ids": packing.op1_pack_token_ids,
     "op2_pareto_mix": mixing.op2_pareto_mix,
+    "op3_metric_range_join": metricjoin.op3_metric_range_join,
+    "op4_main_text": extraction.op4_main_text,
+    "op5_revisits": revisits.op5_revisits,
+    "op6_link_graph_filter": urlfilter.op6_link_graph_filter,
     "op8_best_fit_packing": bestfit.op8_best_fit_packing,
+    "op9_quality_rules": quality.op9_quality_rules,
 }
-SQL = {"op2_pareto_mix": mixing.OP2_SQL}
+SQL = {"op2_pareto_mix": mixing.OP2_SQL, "op5_revisits": revisits.OP5_SQL}
