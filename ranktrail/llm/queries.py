@@ -6,6 +6,7 @@ from ranktrail.llm import (
     bestfit,
     extraction,
     metricjoin,
+    minhash,
     mixing,
     packing,
     quality,
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_main_text": extraction.op4_main_text,
     "op5_revisits": revisits.op5_revisits,
     "op6_link_graph_filter": urlfilter.op6_link_graph_filter,
+    "op7_minhash_near_dedup": minhash.op7_minhash_near_dedup,
     "op8_best_fit_packing": bestfit.op8_best_fit_packing,
     "op9_quality_rules": quality.op9_quality_rules,
 }
