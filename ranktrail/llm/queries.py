@@ -11,6 +11,7 @@ from ranktrail.llm import (
     packing,
     quality,
     revisits,
+    runindex,
     urlfilter,
 )
 
@@ -24,5 +25,6 @@ QUERIES = {
     "op7_minhash_near_dedup": minhash.op7_minhash_near_dedup,
     "op8_best_fit_packing": bestfit.op8_best_fit_packing,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_run_index_dedup": runindex.op10_run_index_dedup,
 }
 SQL = {"op2_pareto_mix": mixing.OP2_SQL, "op5_revisits": revisits.OP5_SQL}
