@@ -1,13 +1,33 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
+reread as the next stage's documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ranktrail.llm import bestfit, mixing
+from ranktrail.llm import bestfit, minhash, mixing, quality, runindex
 from ranktrail.llm.common import documents, stored
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the quality rules reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.quality_rules(docs, labels).filter("kept").select(docs.columns)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates."""
+    return minhash.distinct_documents(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that repeat anywhere out of the texts."""
+    return runindex.without_repeats(docs)
+
+
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that sources meet their target weights."""
     return mixing.mix(docs)
@@ -19,6 +39,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", minhash_near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
     ("mixing sources to target weights", mixing_sources),
     ("best-fit packing", best_fit_packing),
 ]
