@@ -27,4 +27,8 @@ QUERIES = {
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_run_index_dedup": runindex.op10_run_index_dedup,
 }
-SQL = {"op2_pareto_mix": mixing.OP2_SQL, "op5_revisits": revisits.OP5_SQL}
+SQL = {
+    "op2_pareto_mix": mixing.OP2_SQL,
+    "op5_revisits": revisits.OP5_SQL,
+    "op6_link_graph_filter": urlfilter.OP6_SQL,
+}

@@ -157,3 +157,69 @@ def op6_link_graph_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages(spark, sf_dir)).select(
         "page_id", "host", "path", "rule", "verdict", "trust", "distrust"
     )
+
+
+def _op6_sql() -> str:
+    """The same judgement in SQL, a step of the walks per common table."""
+    names = sorted(RULES, key=lambda r: (-len(r[0]), r[0]))
+    cases = []
+    for rule, _ in names:
+        name, slash, rest = rule.partition("/")
+        cases.append(
+            f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) "
+            f"AND starts_with(path, '{slash + rest}') THEN '{rule}'"
+        )
+    verdicts = " ".join(f"WHEN '{rule}' THEN '{verdict}'" for rule, verdict in names)
+    lower = f"translate({{}}, '{UPPER}', '{LOWER}')"
+    steps = []
+    for i in range(ITERATIONS):
+        steps.append(
+            f"""r{i + 1} AS (
+  SELECT walk, host, sum(rank) AS rank FROM (
+    SELECT e.walk, e.dst AS host, r.rank * e.share * {DAMPING}::DOUBLE AS rank
+    FROM r{i} r JOIN edges e ON r.walk = e.walk AND r.host = e.src
+    UNION ALL SELECT walk, host, mass * (1 - {DAMPING}::DOUBLE) FROM seeds) GROUP BY ALL)"""
+        )
+    return f"""
+WITH u AS (
+  SELECT page_id, html, {lower.format("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's')")}
+      AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+  FROM pages
+), j AS (
+  SELECT *, CASE {" ".join(cases)} END AS rule, CASE rule {verdicts} END AS ruled FROM u
+), s AS (
+  SELECT host, walk, count(*) AS pages, count(*) FILTER (WHERE ruled = verdict) AS n
+  FROM j, (VALUES ('trust', 'allow'), ('distrust', 'block')) w(walk, verdict)
+  WHERE host <> '' GROUP BY ALL
+), seeds AS (
+  SELECT walk, host, n / sum(n) OVER (PARTITION BY walk) AS mass
+  FROM s WHERE n > 0 AND n >= {SEED_SHARE} * pages
+), l AS (
+  SELECT host AS src, {lower.format("unnest(list_distinct(regexp_extract_all(html, t, 1)))")} AS dst
+  FROM j, (SELECT '<a\b[^>]*?\bhref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)' AS t)
+), g AS (
+  SELECT src, dst, count(*) AS n FROM l WHERE src <> '' AND src <> dst GROUP BY ALL
+), edges AS (
+  SELECT walk, src, dst, n / sum(n) OVER (PARTITION BY walk, src) AS share FROM (
+    SELECT 'trust' AS walk, src, dst, n FROM g
+    UNION ALL SELECT 'distrust', dst, src, n FROM g)
+), r0 AS (SELECT walk, host, mass AS rank FROM seeds),
+{", ".join(steps)},
+ranks AS (
+  SELECT * FROM r{ITERATIONS} WHERE EXISTS (FROM edges)
+  UNION ALL SELECT * FROM r0 WHERE NOT EXISTS (FROM edges)
+), h AS (
+  SELECT host, sum(CASE WHEN walk = 'trust' THEN rank ELSE 0 END) AS trust,
+    sum(CASE WHEN walk = 'distrust' THEN rank ELSE 0 END) AS distrust
+  FROM ranks GROUP BY host
+)
+SELECT page_id, j.host, path, rule,
+  coalesce(ruled, CASE WHEN coalesce(distrust, 0) - coalesce(trust, 0) > {MARGIN} THEN 'block'
+    ELSE 'allow' END) AS verdict,
+  coalesce(trust, 0)::DOUBLE AS trust, coalesce(distrust, 0)::DOUBLE AS distrust
+FROM j LEFT JOIN h ON j.host = h.host
+"""
+
+
+OP6_SQL = _op6_sql()
