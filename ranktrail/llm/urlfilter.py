@@ -171,6 +171,7 @@ def _op6_sql() -> str:
         )
     verdicts = " ".join(f"WHEN '{rule}' THEN '{verdict}'" for rule, verdict in names)
     lower = f"translate({{}}, '{UPPER}', '{LOWER}')"
+    link = _LINK.replace("'", "''")
     steps = []
     for i in range(ITERATIONS):
         steps.append(
@@ -197,7 +198,7 @@ WITH u AS (
   FROM s WHERE n > 0 AND n >= {SEED_SHARE} * pages
 ), l AS (
   SELECT host AS src, {lower.format("unnest(list_distinct(regexp_extract_all(html, t, 1)))")} AS dst
-  FROM j, (SELECT '<a\b[^>]*?\bhref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)' AS t)
+  FROM j, (SELECT '{link}' AS t)
 ), g AS (
   SELECT src, dst, count(*) AS n FROM l WHERE src <> '' AND src <> dst GROUP BY ALL
 ), edges AS (
