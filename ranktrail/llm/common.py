@@ -33,6 +33,15 @@ def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
+def whole_rows(df: DataFrame) -> Column:
+    """All columns as one struct, so that no name among them meets one of an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row_")
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    return [F.col("row_").getField(c).alias(c) for c in columns]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     path = shared_dir(df.sparkSession, name)

@@ -27,14 +27,16 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m"))
         low = low.select(F.col("v").alias("x"), F.least("v", "m").alias("m"))
+        low = stored(low, f"{name}-least-{step}")  # a join of two plain tables can split a busy u
         # large star: greater neighbours of x to the least node around x
         large = (
             edges.join(low, F.col("u") == F.col("x"))
             .select("v", F.col("m").alias("u"))
             .distinct()
         )
+        large = stored(large, f"{name}-large-{step}")
         # small star: lesser neighbours of v to the least of them
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
+        least = stored(large.groupBy("v").agg(F.min("u").alias("m")), f"{name}-small-{step}")
         small = large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
         edges = least.select("v", F.col("m").alias("u")).unionByName(
             small.filter(F.col("v") > F.col("u"))

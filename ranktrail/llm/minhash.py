@@ -332,9 +332,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents of which one stays for every group; a null doc_id is never dropped."""
-    kept = near_duplicates(docs, percent).filter("kept").select(F.col("doc_id").alias("k_"))
-    one = docs.join(kept, F.col("doc_id") == F.col("k_"), "semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
+    kept = near_duplicates(docs, percent).filter("kept").select("doc_id")
+    one = docs.join(kept, "doc_id", "semi").dropDuplicates(["doc_id"])
+    return one.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ranktrail.llm.common import documents, stored, word_count
+from ranktrail.llm.common import documents, stored, unpacked, whole_rows, word_count
 
 MOST_COPIES = 3
 CELLS = 4096  # slices of the sampling order in which words are first summed
@@ -54,11 +54,16 @@ def targets(sized: DataFrame, weights: tuple[int, ...], most: int = MOST_COPIES)
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """Adds what the draw of a row depends on: its size, length class and uniform number."""
-    size = word_count(F.col("text"))
+    """Whole rows with what their draw depends on: size, length class and a uniform number."""
+    sized = docs.select(
+        whole_rows(docs),
+        F.col("doc_id"),
+        F.col("source"),
+        word_count(F.col("text")).alias("size"),
+    )
     key = F.concat_ws("\x1f", F.col("doc_id"), F.col("source"), F.col("size"))
     digest = F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("double")
-    return docs.withColumn("size", size).withColumns(
+    return sized.withColumns(
         {
             "class": F.length(F.bin(F.col("size") + 1)),
             # from the row's own content, so that reruns agree
@@ -85,11 +90,16 @@ def draw_plan(sized: DataFrame, weights: tuple[int, ...], most: int = MOST_COPIE
                 larger.rowsBetween(0, Window.unboundedFollowing)
             ),
         }
-    ).withColumn("full", F.col("left") * F.col("class") >= most * F.col("rest"))
-    free = F.max(F.when(~F.col("full"), F.struct("class", F.col("left") / F.col("rest")))).over(
+    ).withColumn(
+        "full", (F.col("rest") > 0) & (F.col("left") * F.col("class") >= most * F.col("rest"))
+    )
+    open_ = (F.col("rest") > 0) & ~F.col("full")
+    free = F.max(F.when(open_, F.struct("class", F.col("left") / F.col("rest")))).over(
         Window.partitionBy("source")
     )
-    copies = F.when(F.col("full"), float(most)).otherwise(free["col2"] * F.col("class"))
+    copies = F.when(F.col("full"), float(most)).otherwise(
+        F.coalesce(free["col2"] * F.col("class"), F.lit(1.0))  # only texts without words: as is
+    )
     expected = stored(
         tried.select("source", "class", "source_size", "target", copies.alias("expected")),
         "mix-expected",
@@ -175,7 +185,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_
     plan = draw_plan(stored(_light(sized), "mix-sizes"), weights, most)
     mixed = copies_of(sized, plan).filter(F.col("copies") > 0)
     times = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], times.alias("_")).drop("_")
+    return mixed.select("row_", times.alias("time")).select(unpacked(docs.columns))
 
 
 def _light(sized: DataFrame) -> DataFrame:
@@ -232,9 +242,9 @@ WITH sized AS (
   WINDOW w AS (PARTITION BY c.source ORDER BY class DESC)
 ), e AS (
   SELECT source, class, source_size, target,
-    CASE WHEN remain * class >= 3 * rest THEN 3.0::DOUBLE
-    ELSE (arg_max(remain / rest, class) FILTER (WHERE remain * class < 3 * rest)
-          OVER (PARTITION BY source)) * class END AS expected
+    CASE WHEN rest > 0 AND remain * class >= 3 * rest THEN 3.0::DOUBLE
+    ELSE coalesce((arg_max(remain / rest, class) FILTER (WHERE rest > 0 AND remain * class < 3 * rest)
+          OVER (PARTITION BY source)) * class, 1.0::DOUBLE) END AS expected
   FROM d
 ), r AS (
   SELECT m.*, e.source_size, e.target, e.expected, expected - floor(expected) AS part,

@@ -18,11 +18,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranktrail.llm.common import documents, stored
+from ranktrail.llm.common import documents, stored, unpacked, whole_rows
 from ranktrail.llm.textbytes import (
     BYTE_VALUES,
     byte_chunks,
@@ -356,7 +357,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def _without(text: str | None, spans: list[int] | None) -> tuple[bytes, int, int, int]:
     data = (text or "").encode()
-    flat = np.array(spans or [], np.int64)
+    flat = np.asarray([] if spans is None else spans, np.int64)
     start, end = united(flat[::2], flat[1::2])
     kept, at = [], 0
     for a, b in zip(start.tolist(), end.tolist(), strict=True):
@@ -368,11 +369,13 @@ def _without(text: str | None, spans: list[int] | None) -> tuple[bytes, int, int
 
 
 def _marked(docs: DataFrame, length: int) -> DataFrame:
+    """Whole rows with the spans to remove from their texts, null without any."""
     spans = repeated_spans(docs, length).withColumnsRenamed({"doc_id": "d_", "th": "t_"})
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("d_")) & F.xxhash64("text").eqNullSafe(
-        F.col("t_")
-    )
-    return docs.join(spans, here, "left").drop("d_", "t_")
+    rows = docs.select(whole_rows(docs))
+    text = F.col("row_.text")
+    here = F.col("row_.doc_id").cast("long").eqNullSafe(F.col("d_"))
+    here &= F.xxhash64(text).eqNullSafe(F.col("t_"))
+    return rows.join(spans, here, "left").select("row_", "spans")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -400,7 +403,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     columns = docs.select(F.col("doc_id").cast("long"), "text")
     return (
         _marked(columns, length)
-        .select("doc_id", "text", "spans")
+        .select("row_.doc_id", "row_.text", "spans")
         .mapInArrow(
             digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
         )
@@ -408,24 +411,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The documents with repeats cut out of their texts and ``n_chars`` counted again.
+    """The documents with repeats cut out of their texts and ``n_chars``, if any, counted again.
 
-    A cut may split a character of several bytes; what is left of it goes too. Untouched texts
-    stay as they are, and so does null.
+    A cut may split a character of several bytes; what is left of it goes too. Untouched rows
+    stay as they are, null texts among them.
     """
 
     @F.pandas_udf("string")
-    def rest(text, spans):
-        return text.combine(spans, lambda t, s: _without(t, list(s))[0].decode("utf-8", "ignore"))
+    def rest(text: pd.Series, spans: pd.Series) -> pd.Series:
+        pairs = zip(text, spans, strict=True)
+        return pd.Series([_without(t, s)[0].decode("utf-8", "ignore") for t, s in pairs], dtype=object)
 
     marked = _marked(docs, length)
-    cut = F.when(F.col("spans").isNull(), F.col("text")).otherwise(
-        rest("text", F.coalesce("spans", F.array().cast("array<int>")))
-    )
-    n_chars = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(
-        F.char_length("text").cast("long")
-    )
-    return marked.withColumn("text", cut).withColumn("n_chars", n_chars).select(docs.columns)
+    whole = marked.filter(F.col("spans").isNull()).select(unpacked(docs.columns))
+    cut = marked.filter(F.col("spans").isNotNull())
+    cut = cut.select("row_", rest("row_.text", "spans").alias("text_"))
+    columns = {c: F.col("row_").getField(c) for c in docs.columns} | {"text": F.col("text_")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.char_length("text_").cast(docs.schema["n_chars"].dataType)
+    return whole.unionByName(cut.select(*[c.alias(name) for name, c in columns.items()]))
 
 
 def op10_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranktrail.llm.common import pages, stored
+from ranktrail.llm.common import pages, stored, unpacked, whole_rows
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (
@@ -117,8 +117,12 @@ def judge_urls(
     """
     host, path = F.col("host"), F.col("path")
     verdicts = F.create_map(*[F.lit(x) for pair in rules for x in pair])
-    judged = docs.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    judged = judged.withColumn("rule", matched_rule(host, path, rules))
+    judged = docs.select(
+        whole_rows(docs),
+        "html",
+        host_of(F.col("url")).alias("host"),
+        path_of(F.col("url")).alias("path"),
+    ).withColumn("rule", matched_rule(host, path, rules))
     ruled = F.element_at(verdicts, F.col("rule"))
     sides = stored(
         judged.filter(host != "")
@@ -145,12 +149,20 @@ def judge_urls(
             for w in ("trust", "distrust")
         ]
     )
-    judged = judged.drop("trust", "distrust", "verdict").join(scores, host == F.col("h_"), "left")
-    judged = judged.drop("h_").withColumns(
-        {w: F.coalesce(F.col(w), F.lit(0.0)) for w in ("trust", "distrust")}
+    trust, distrust = (F.coalesce(F.col(w), F.lit(0.0)) for w in ("trust", "distrust"))
+    spread = F.when(distrust - trust > margin, "block").otherwise("allow")
+    results = {
+        "host": host,
+        "path": path,
+        "rule": F.col("rule"),
+        "verdict": F.coalesce(ruled, spread),
+        "trust": trust,
+        "distrust": distrust,
+    }
+    own = [c for c in docs.columns if c not in results]
+    return judged.join(scores, host == F.col("h_"), "left").select(
+        *unpacked(own), *[c.alias(name) for name, c in results.items()]
     )
-    spread = F.when(F.col("distrust") - F.col("trust") > margin, "block").otherwise("allow")
-    return judged.withColumn("verdict", F.coalesce(ruled, spread))
 
 
 def op6_link_graph_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
