@@ -55,7 +55,7 @@ _UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s
 @dataclass
 class Line:
     text: str
-    weight: int  # characters outside links
+    weight: int  # visible characters outside links
     declared: bool  # inside an article or main element
 
 
@@ -81,14 +81,15 @@ def lines_of(page: str) -> list[Line]:
         if not skip and segment:
             parts.append(segment)
             if link:
-                linked += len(segment.strip())
+                linked += len("".join(characters.unescape(segment).split()))
 
     def end_line() -> None:
         nonlocal parts, linked
         if parts:
             words = " ".join(characters.unescape("".join(parts)).split())
             if words:
-                lines.append(Line(words, max(0, len(words) - linked), declared > 0))
+                solid = len(words) - words.count(" ")
+                lines.append(Line(words, max(0, solid - linked), declared > 0))
         parts, linked = [], 0
 
     at = 0

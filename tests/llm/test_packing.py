@@ -158,5 +158,6 @@ def test_empty_table_and_null_ids(spark):
     assert bestfit.pack_best_fit(empty).count() == 0
     assert packing.pack_documents(empty).count() == 0
     odd = documents(spark, ["a b", "a b"]).selectExpr("CAST(NULL AS long) AS doc_id", "text")
+    odd = odd.coalesce(1)
     assert [r.doc_id for r in bestfit.pack_best_fit(odd).collect()] == [None, None]
     assert packing.pack_documents(odd).first().doc_ids == [None, None]
