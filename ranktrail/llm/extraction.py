@@ -57,6 +57,7 @@ class Line:
     text: str
     weight: int  # visible characters outside links
     declared: bool  # inside an article or main element
+    home: int  # number of the innermost container element
 
 
 def _is_furniture(name: str, rest: str) -> bool:
@@ -74,7 +75,8 @@ def lines_of(page: str) -> list[Line]:
     parts: list[str] = []
     linked = 0
     stack: list[str] = []  # open elements that are not void
-    skip = declared = link = 0  # skip and link: stack height at which it began, 0 for none
+    homes = [0]  # numbers of the containers among them
+    skip = declared = link = opened = 0  # skip and link: stack height where it began, 0 for none
 
     def text(segment: str) -> None:
         nonlocal linked
@@ -89,7 +91,7 @@ def lines_of(page: str) -> list[Line]:
             words = " ".join(characters.unescape("".join(parts)).split())
             if words:
                 solid = len(words) - words.count(" ")
-                lines.append(Line(words, max(0, solid - linked), declared > 0))
+                lines.append(Line(words, max(0, solid - linked), declared > 0, homes[-1]))
         parts, linked = [], 0
 
     at = 0
@@ -108,6 +110,8 @@ def lines_of(page: str) -> list[Line]:
                 while True:
                     closed = stack.pop()
                     declared -= closed in DECLARED
+                    if closed != "p" and closed not in INLINE:
+                        homes.pop()
                     if skip > len(stack):
                         skip = 0
                     if link > len(stack):
@@ -119,12 +123,15 @@ def lines_of(page: str) -> list[Line]:
                 stack.pop()
                 skip = skip if skip <= len(stack) else 0
             stack.append(name)
+            if name != "p" and name not in INLINE:
+                opened += 1
+                homes.append(opened)
             if name in DECLARED:
                 declared += 1
                 skip = 0  # furniture that was never closed ends where an article begins
             elif not skip and name not in INLINE and _is_furniture(name, token["rest"]):
                 end_line()
-                lines.extend(Line("", 0, declared > 0) for _ in range(WINDOW))
+                lines.extend(Line("", 0, declared > 0, -1) for _ in range(WINDOW))
                 skip = len(stack)
             elif name == "a" and not link:
                 link = len(stack)
@@ -162,16 +169,21 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     """Lines between surges and dives, one per block, joined by line feeds.
 
     In a page that declares an article or a main part, only its lines have weight, and any text
-    there is a surge. Elsewhere the richest range stands for the text if none reaches the surge.
+    there is a surge. Elsewhere ranges that reach it bring those of their containers with them, and
+    the richest range stands for the text if none reaches it.
     """
     lines = lines_of(page or "")
     if any(x.declared and x.text for x in lines):
-        lines = [x if x.declared else Line("", 0, False) for x in lines]
+        lines = [x if x.declared else Line("", 0, False, -1) for x in lines]
         runs = runs_of([len(x.text) for x in lines], window, 1)
     else:
         weights = [x.weight for x in lines]
         runs = runs_of(weights, window, surge)
-        if not runs:
+        if runs:  # what an advert cuts off from a range in the same container belongs to it
+            homes = {x.home for a, b in runs for x in lines[a:b] if x.text}
+            every = runs_of(weights, window, 1)
+            runs = [(a, b) for a, b in every if homes & {x.home for x in lines[a:b] if x.text}]
+        else:
             runs = runs_of(weights, window, 1)
             runs = sorted(runs, key=lambda r: (-sum(weights[r[0] : r[1]]), r))[:1]
     return "\n".join(x.text for a, b in runs for x in lines[a:b] if x.text)
