@@ -14,6 +14,8 @@ from ..schema import (
     RANKINGS,
     checked_error_source,
     checked_status,
+    status_code,
+    status_name,
 )
 from ..sources.tables import run_time, write_table
 from .classify import latest_run
@@ -78,55 +80,72 @@ def export_tables(tables: Tables, path: str) -> list[str]:
     return written
 
 
-def _stacked(instances: list[DataFrame], key: tuple[str, ...]) -> DataFrame:
-    columns = instances[0].columns
-    values = [c for c in columns if c not in key]
-    parts = [
-        df.select(*key, F.struct(F.lit(i).alias("instance"), *values).alias("row"))
-        for i, df in enumerate(instances)
-    ]
+def _stacked(instances: list[DataFrame]) -> DataFrame:
+    parts = [df.withColumn("instance", F.lit(i)) for i, df in enumerate(instances)]
     union = parts[0]
     for part in parts[1:]:
-        union = union.unionAll(part)
+        union = union.unionByName(part)
     return union
 
 
 def merge_instances(table: str, instances: list[DataFrame]) -> DataFrame:
     """Union of one table from several instances, one row per key.
 
-    Of rows with one key, that of the earliest instance in the list stays. A minimum over
-    the whole row is combined before the shuffle, however many copies a key has, and
-    picks the same row in every run.
+    Of rows with one key, that of the earliest instance in the list stays; a key is unique within
+    an instance. Records are fixed-width (the status as its code), so one hash aggregation,
+    combined before the shuffle, picks each column from the earliest instance. Tables with text
+    or lists take from each instance the rows whose key no earlier one has.
     """
     key = KEYS[table]
     columns = instances[0].columns
-    return (
-        _stacked(instances, key)
-        .groupBy(*key)
-        .agg(F.min("row").alias("row"))
-        .select(*[F.col(c) if c in key else F.col("row")[c].alias(c) for c in columns])
-    )
+    if table == "run_story":
+        rows = _stacked(instances).withColumn("status", status_code())
+        # min_by passes over no null: a null of the earliest instance stays
+        picked = {c: F.min_by(c, "instance").alias(c) for c in columns if c not in key}
+        merged = rows.groupBy(*key).agg(*picked.values())
+        return merged.withColumn("status", status_name("status")).select(*columns)
+    merged = instances[0]
+    for other in instances[1:]:
+        fresh = other.join(merged.select(*key), list(key), "left_anti")
+        merged = merged.unionByName(fresh.select(*columns))
+    return merged
 
 
 def merge_conflicts(table: str, instances: list[DataFrame]) -> DataFrame:
-    """Keys whose copies differ, with the number of copies and of instances holding one."""
+    """Keys whose copies differ, with the number of copies and of instances holding one.
+
+    Copies of a column differ if its least and greatest values do, or if some are null. Text and
+    lists are compared by two hashes, so every buffer has a fixed width.
+    """
     key = KEYS[table]
-    values = F.struct(*[F.col("row")[c] for c in instances[0].columns if c not in key])
-    held = [F.max(F.when(F.col("row.instance") == i, 1)) for i in range(len(instances))]
-    total = F.coalesce(held[0], F.lit(0))
+    rows = _stacked(instances)
+    values = [c for c in instances[0].columns if c not in key]
+    fixed = {c for c, kind in instances[0].dtypes if not kind.startswith(("string", "array"))}
+    compared = []
+    for c in values:
+        compared += [c] if c in fixed else [F.xxhash64(c), F.hash(c)]
+    named = [F.expr(c).alias(f"v{i}") if isinstance(c, str) else c.alias(f"v{i}")
+             for i, c in enumerate(compared)]
+    absent = [F.col(c).isNull().cast("int").alias(f"n{i}") for i, c in enumerate(values)]
+    names = [f"v{i}" for i in range(len(named))] + [f"n{i}" for i in range(len(absent))]
+    held = [F.max(F.when(F.col("instance") == i, 1).otherwise(0)) for i in range(len(instances))]
+    total = held[0]
     for h in held[1:]:
-        total = total + F.coalesce(h, F.lit(0))
+        total = total + h
+    differs = F.lit(False)
+    for n in names:
+        differs = differs | F.coalesce(F.col(f"low_{n}") != F.col(f"high_{n}"), F.lit(False))
     return (
-        _stacked(instances, key)
+        rows.select(*key, "instance", *named, *absent)
         .groupBy(*key)
         .agg(
             F.count("*").alias("copies"),
             total.alias("instances"),
-            F.min(values).alias("_low"),
-            F.max(values).alias("_high"),
+            *[F.min(n).alias(f"low_{n}") for n in names],
+            *[F.max(n).alias(f"high_{n}") for n in names],
         )
-        .filter(~F.col("_low").eqNullSafe(F.col("_high")))
-        .drop("_low", "_high")
+        .filter(differs)
+        .select(*key, "copies", "instances")
     )
 
 
