@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.times import check_time_window, is_older
 from ..ruleset import Ruleset
 from ..schema import CODE, status_name
-from ..sources.tables import before, run_time
+from ..sources.tables import before, run_time, up_to
 from .ranks import RANK_COLUMNS, ranks_at
 from .status import known_state, last_state
 
@@ -98,8 +98,12 @@ def classify_stories(
     return decode(classify_codes(run, run_story, rules, ts_run, state))
 
 
-def classify_codes(run, run_story, rules, ts_run=None, state=None) -> DataFrame:
-    """:func:`classify_stories` with statuses still as codes."""
+def classify_codes(run, run_story, rules, ts_run=None, state=None, recorded=False) -> DataFrame:
+    """:func:`classify_stories` with statuses still as codes.
+
+    ``recorded`` says that every run the state refers to is recorded, so that ``run`` need hold no
+    earlier ones.
+    """
     if ts_run is None:
         ts_run = latest_run(run)
     if ts_run is None:  # no run at all: any time gives a typed, empty result
@@ -108,7 +112,7 @@ def classify_codes(run, run_story, rules, ts_run=None, state=None) -> DataFrame:
     if state is None:
         last = last_state(run, run_story, ts_run)
     else:
-        last = known_state(before(run, ts_run), state)
+        last = known_state(None if recorded else before(run, ts_run), state)
     return (
         ranks.join(last, "story_id", "full_outer")
         .withColumn("ts_run", run_time(run, ts_run))
@@ -153,9 +157,12 @@ def status_transitions(classified: DataFrame) -> DataFrame:
     )
 
 
-def classify_reconcile(classified: DataFrame, recorded: DataFrame) -> DataFrame:
-    """Number of classified stories, and of distinct stories recorded so far."""
+def classify_reconcile(classified: DataFrame, recorded: DataFrame, as_of=None) -> DataFrame:
+    """Number of classified stories, and of distinct stories recorded up to ``as_of``.
+
+    The two belong together for ``as_of`` the classified run; None counts every record.
+    """
+    known = recorded if as_of is None else up_to(recorded, as_of)
     return classified.agg(F.count("*").alias("count")).unionAll(
-        recorded.agg(F.count_distinct("story_id").alias("count"))
+        known.agg(F.count_distinct("story_id").alias("count"))
     )
-

@@ -72,7 +72,8 @@ def last_state(run: DataFrame, run_story: DataFrame, ts_run) -> DataFrame:
     return known_state(before(run, ts_run), story_state(before(run_story, ts_run)))
 
 
-def known_state(run: DataFrame, state: DataFrame) -> DataFrame:
+def known_state(run: DataFrame | None, state: DataFrame) -> DataFrame:
+    """A state as classification reads it; ``run`` None: all its runs are known to be recorded."""
     state = state.select(
         "story_id",
         F.col("last_ts").alias("ts_run"),
@@ -80,7 +81,9 @@ def known_state(run: DataFrame, state: DataFrame) -> DataFrame:
         F.col("last_score"),
         status_repeat().alias("last_status_repeat"),
     )
-    return in_known_runs(state, run).withColumnRenamed("ts_run", "last_ts_run")
+    if run is not None:
+        state = in_known_runs(state, run)
+    return state.withColumnRenamed("ts_run", "last_ts_run")
 
 
 def last_recorded_run(run_story: DataFrame, ts_run) -> DataFrame:

@@ -37,17 +37,22 @@ def run_cycle(
     rules: Ruleset,
     ts_run=None,
     state: DataFrame | None = None,
+    runs: DataFrame | None = None,
 ) -> Cycle:
     """Record the lists of one run, decide what to fetch, and record what came back.
 
     ``run`` and ``run_story`` are the tables before the cycle (a ``state`` may stand in
     for the latter). The IDs to fetch never leave the executors: candidates are joined to
-    the landed responses. What was fetched is written once to the shared folder, and both
+    the landed responses. ``runs`` is the schedule, which names a run even if all its lists failed;
+    known stories that are due are fetched in it all the same. What was fetched is written once to the shared folder, and both
     outputs read it, so the classification is not computed twice.
     """
     if ts_run is None:
-        ts_run = rankings_raw.agg(F.max("ts_run")).first()[0]
-    rankings = parse_rankings(at(rankings_raw, ts_run))
+        known = rankings_raw.select("ts_run")
+        known = known if runs is None else known.unionAll(runs.select("ts_run"))
+        ts_run = known.agg(F.max("ts_run")).first()[0]
+    scheduled = None if runs is None else at(runs.select("ts_run"), ts_run)
+    rankings = parse_rankings(at(rankings_raw, ts_run), runs=scheduled)
     new_run = assemble_run(rankings, rules.name)
     day = {DAY_COLUMN} & set(run.columns)
     recorded = run.select(*RUN.names, *day)

@@ -179,10 +179,19 @@ class _Rules:
         wanted = int(seconds * _SECOND)
         if seconds <= 28 * 86_400:
             return bisect_left(self.timeline, then + wanted, start)
-        # a calendar age can run ahead of the plain difference by less than four days
+        # a calendar age can run ahead of the plain difference by less than four days; between
+        # a midnight and the old time of day it only grows
         i = bisect_left(self.timeline, then + wanted - 4 * _DAY, start)
-        while i < len(self.timeline) and _calendar_age(self.timeline[i], then) < wanted:
-            i += 1
+        while i < len(self.timeline):
+            t = self.timeline[i]
+            turn = min((t // _DAY + 1) * _DAY, then + ((t - then) // _DAY + 1) * _DAY)
+            end = bisect_left(self.timeline, turn, i)
+            aged = bisect_left(
+                self.timeline, wanted, i, end, key=lambda now: _calendar_age(now, then)
+            )
+            if aged < end:
+                return aged
+            i = end
         return i
 
 
@@ -321,18 +330,19 @@ def _inputs(run: DataFrame, items_raw: DataFrame, state: DataFrame | None) -> Da
 
 def replay_block(
     run: DataFrame, items_raw: DataFrame, rules: Ruleset, timeline: list[int],
-    state: DataFrame | None = None,
+    state: DataFrame | None = None, partitions: int | None = None,
 ) -> DataFrame:
     """Records and end states of one block of runs (``timeline``: its run times, micros).
 
     Nulls sort first, so a story's state precedes its rows. The number of partitions is
-    given: sized by bytes alone, adaptive execution would leave the walk too few tasks.
+    given (None: the session's for shuffles): sized by bytes alone, adaptive execution would
+    leave the walk too few tasks. A long history wants about one per million responses.
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _walk(batches, rules, timeline)
 
-    parallelism = run.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    parallelism = partitions or run.sparkSession.conf.get("spark.sql.shuffle.partitions")
     return (
         _inputs(run, items_raw, state)
         .repartition(int(parallelism), "story_id")
@@ -369,11 +379,36 @@ def block_state(block: DataFrame) -> DataFrame:
 
 
 def block_errors(block: DataFrame, items_raw: DataFrame) -> DataFrame:
-    """Error rows of a block's fetches."""
+    """Error rows of a block's fetches.
+
+    Two narrow joins: the fetches that ended badly, whose responses alone are looked up, and the
+    responses that took a retry. All other payloads stay where they are.
+    """
     fetched = block.filter(F.col("kind") == _RECORD).select(
         _timestamp("ts").alias("ts_run"), "story_id", F.col("code").alias("new_code")
     )
-    return run_story_errors(fetch_outcomes(fetched, items_raw))
+    bad = fetched.filter(F.col("new_code") >= CODE["deleted"])
+    keys = bad.select("ts_run", F.col("story_id").alias("id"))
+    answers = items_raw.join(keys, ["ts_run", "id"], "left_semi")
+    retried = items_raw.filter(F.col("retries") != 0)
+    others = fetched.filter(F.col("new_code") < CODE["deleted"])
+    return run_story_errors(fetch_outcomes(bad, answers)).unionByName(
+        run_story_errors(fetch_outcomes(others, retried))
+    )
+
+
+def cycle_block(outcomes: DataFrame) -> DataFrame:
+    """The records of one run, classified without a walk, as rows of a block."""
+    return outcomes.select(
+        F.lit(_RECORD).alias("kind"),
+        "story_id",
+        _micros("ts_run").alias("ts"),
+        "code",
+        "score",
+        "descendants",
+        _micros("ts_end").alias("payload_ts"),
+        F.lit(None).cast("array<bigint>").alias("counts"),
+    )
 
 
 def visible_state(run: DataFrame, state: DataFrame) -> DataFrame:
@@ -452,13 +487,19 @@ def replay_blocks(
     state: DataFrame | None,
     folder: str,
     block_runs: int = BLOCK_RUNS,
+    partitions: int | None = None,
 ) -> DataFrame | None:
     """Fold ``run`` block by block into ``folder``; returns the state after the last one."""
     spark = run.sparkSession
     for number, timeline in enumerate(_timelines(run, block_runs)):
         low, high = _moment(timeline[0]), _moment(timeline[-1])
         block = replay_block(
-            between(run, low, high), between(items_raw, low, high), rules, timeline, state
+            between(run, low, high),
+            between(items_raw, low, high),
+            rules,
+            timeline,
+            state,
+            partitions,
         )
         path = f"{folder}/block={number}"
         # few tasks' worth of output in a live cycle, many in a long replay: let sizes decide
@@ -480,24 +521,27 @@ def replay_history(
     run: DataFrame | None = None,
     state: DataFrame | None = None,
     block_runs: int = BLOCK_RUNS,
+    runs: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> Replay:
     """Run every landed cycle in time order; same tables as ``run_cycle`` one by one.
 
-    ``run`` and ``state`` hold what was recorded before, if anything.
+    ``run`` and ``state`` hold what was recorded before, if anything; ``runs`` is the schedule,
+    which also names runs whose lists all failed. ``partitions`` is the number of tasks per block.
     """
     spark = rankings_raw.sparkSession
     folder = shared_dir(spark, "replay")
-    rankings = parse_rankings(rankings_raw)
+    rankings = parse_rankings(rankings_raw, runs=runs)
     write_table(assemble_run(rankings, rules.name).select(*RUN.names), f"{folder}/run")
-    runs = read_table(spark, f"{folder}/run", RUN)
+    landed = read_table(spark, f"{folder}/run", RUN)
     if state is not None:
         state = visible_state(run, state)
-    state = replay_blocks(runs, items_raw, rules, state, f"{folder}/blocks", block_runs)
+    state = replay_blocks(landed, items_raw, rules, state, f"{folder}/blocks", block_runs, partitions)
     if state is None:
         raise ValueError("no landed rankings to replay")
     blocks = read_blocks(spark, f"{folder}/blocks")
     return Replay(
-        run=runs,
+        run=landed,
         run_story=block_records(blocks),
         error=run_errors(rankings).unionByName(block_errors(blocks, items_raw)),
         state=state,

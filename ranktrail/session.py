@@ -32,16 +32,29 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``. Where that is unset a
-    temporary folder stands in, but only on a local master: on a cluster a
-    machine-local path would not be readable by other executors.
+    The folder is the session's ``spark.checkpoint.dir``, or else the one set with
+    ``setCheckpointDir``. Where both are unset a temporary folder stands in, but only on a local
+    master: on a cluster a machine-local path would not be readable by other executors.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    app_id = spark.sparkContext.applicationId
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    app_id = context.applicationId
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         if app_id not in _local_dirs:
             _local_dirs[app_id] = tempfile.mkdtemp(prefix="ranktrail-")
         base = _local_dirs[app_id]
     return os.path.join(base, "ranktrail", app_id, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders this library wrote, in whatever store they are; missing ones are fine."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Remove every intermediate this application wrote, once nothing reads them any more."""
+    remove(spark, os.path.dirname(shared_dir(spark, "any")))

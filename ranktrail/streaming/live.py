@@ -6,12 +6,14 @@ own that a repeated batch overwrites, so a restart neither loses nor doubles row
 
     run/batch=N  blocks/batch=N  error/batch=N  state/batch=N  late/batch=N  progress/batch=N
 
-A batch reads the state and progress of the batch before it, never the whole history, so
-a cycle costs the same after years. Many small batches leave many small files; once in a
-while ``export_tables`` over :func:`collected` stores them by day.
-
-Statuses depend on order. A run older than the last recorded one is set aside in ``late``;
-a run that is already recorded is skipped.
+A batch reads the responses of its own days, and the state and progress of the batch before it.
+A batch of a single run, the usual one, is classified by joins alone; several runs are replayed.
+The state has a row per story ever seen; states older than the last two are removed. Many
+small batches leave many small files; once in a while ``export_tables`` over
+:func:`collected` stores them by day.
+
+Statuses depend on order. Responses of a run that is older than the last recorded one, or
+recorded already, are set aside in ``late`` with the reason.
 """
 
 from collections.abc import Callable
@@ -19,21 +21,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
-from ..operators.collect import assemble_run, run_errors
+from ..operators.classify import classify_codes, fetch_candidates
+from ..operators.collect import assemble_run, fetch_outcomes, run_errors, run_story_errors
+from ..operators.status import merge_states, story_state
 from ..plans.replay import (
     BLOCK_RUNS,
     Replay,
     block_errors,
     block_records,
+    cycle_block,
     read_blocks,
     replay_blocks,
 )
 from ..ruleset import Ruleset
 from ..schema import ERROR, RANKINGS_RAW, RUN, STORY_STATE
+from ..session import remove
 from ..sources.responses import parse_rankings, read_rankings
-from ..sources.tables import run_time
+from ..sources.tables import at, between, run_time
 
 
 _PROGRESS = "last_ts timestamp_ntz"
@@ -53,18 +59,22 @@ def stream_cycle(
     files_per_batch: int | None = None,
     block_runs: int = BLOCK_RUNS,
     interval: str | None = None,
+    schedule: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start the job on a folder of landed list responses (JSON lines).
 
-    All rows of a run must land in one file. ``items`` returns the landed item responses
-    as known at the time of the call. ``interval`` ("5 minutes") keeps the job running;
+    All rows of a run must land in one file; what lands later goes to ``late``. ``items`` returns
+    the landed item responses as known at the time of the call, stored by day (``write_table``).
+    ``schedule`` returns the planned runs (ts_run): those up to a batch's last run that left no
+    response are recorded with it, all lists failed. ``interval`` ("5 minutes") keeps the job running;
     without it the query ends once everything landed has been handled. The checkpoint
     lives under ``out``: batch numbers and output belong together.
     """
     source = read_rankings(spark, landing, stream=True, files_per_batch=files_per_batch)
 
     def handle(batch: DataFrame, number: int) -> None:
-        _handle(batch, number, items(), rules, out, block_runs)
+        planned = None if schedule is None else schedule()
+        _handle(batch, number, items(), rules, out, block_runs, planned)
 
     writer = (
         source.writeStream.option("checkpointLocation", f"{out}/_checkpoint")
@@ -76,7 +86,13 @@ def stream_cycle(
 
 
 def _handle(
-    batch: DataFrame, number: int, items: DataFrame, rules: Ruleset, out: str, block_runs: int
+    batch: DataFrame,
+    number: int,
+    items: DataFrame,
+    rules: Ruleset,
+    out: str,
+    block_runs: int,
+    schedule: DataFrame | None = None,
 ) -> None:
     spark = batch.sparkSession
 
@@ -94,22 +110,45 @@ def _handle(
         newest = run_time(batch, last)
         new, behind = batch.filter(F.col("ts_run") > newest), batch.filter(F.col("ts_run") <= newest)
         if not behind.isEmpty():  # rare: only then the runs so far are looked at
-            recorded = _read(spark, out, "run", RUN).filter(F.col("batch") < number)
-            late = behind.join(recorded.select("ts_run"), "ts_run", "left_anti")
-            write(late.select(*RANKINGS_RAW.names), "late")
-    rankings = parse_rankings(new)
+            runs = _read(spark, out, "run", RUN).filter(F.col("batch") < number).select("ts_run")
+            recorded = runs.withColumn("known", F.lit(True))
+            reason = F.when(F.col("known"), "run already recorded").otherwise("later run recorded")
+            late = behind.join(recorded, "ts_run", "left").withColumn("reason", reason)
+            write(late.select(*RANKINGS_RAW.names, "reason"), "late")
+    planned = None
+    if schedule is not None:
+        planned = between(schedule.select("ts_run"), None, new.agg(F.max("ts_run")).scalar())
+        if last is not None:
+            planned = planned.filter(F.col("ts_run") > run_time(planned, last))
+    rankings = parse_rankings(new, runs=planned)
     runs = spark.read.schema(RUN).parquet(
         write(assemble_run(rankings, rules.name).select(*RUN.names), "run")
     )
     carried = F.lit(None if last is None else str(last)).cast("timestamp_ntz")
     write(runs.agg(F.coalesce(F.max("ts_run"), carried).alias("last_ts")), "progress")
-    blocks = f"{out}/blocks/batch={number}"
-    after = replay_blocks(runs, items, rules, state, blocks, block_runs)
-    write(spark.createDataFrame([], STORY_STATE) if after is None else after, "state")
     errors = run_errors(rankings)
-    if after is not state:
-        errors = errors.unionByName(block_errors(read_blocks(spark, blocks), items))
+    blocks = f"{out}/blocks/batch={number}"
+    low, high = runs.agg(F.min("ts_run"), F.max("ts_run")).first()
+    if low is not None and low == high and state is not None:
+        classified = classify_codes(runs, None, rules, low, state, recorded=True)
+        outcomes = spark.read.parquet(
+            write(fetch_outcomes(fetch_candidates(classified), at(items, low)), "outcomes")
+        )
+        cycle_block(outcomes).write.mode("overwrite").partitionBy("kind").parquet(f"{blocks}/block=0")
+        records = block_records(read_blocks(spark, blocks))
+        after = merge_states(state, story_state(records))
+        errors = errors.unionByName(run_story_errors(outcomes))
+    elif low is not None:
+        after = replay_blocks(runs, items, rules, state, blocks, block_runs)
+        own = between(items, low, high)
+        errors = errors.unionByName(block_errors(read_blocks(spark, blocks), own))
+    else:
+        after = state
+    if after is None:
+        after = spark.createDataFrame([], STORY_STATE)
+    write(after.select(*STORY_STATE.names), "state")
     write(errors.select(*ERROR.names), "error")
+    remove(spark, f"{out}/state/batch={number - 2}", f"{out}/outcomes/batch={number}")
 
 
 def collected(spark: SparkSession, out: str) -> Replay:
@@ -125,8 +164,9 @@ def collected(spark: SparkSession, out: str) -> Replay:
 
 
 def late_runs(spark: SparkSession, out: str) -> DataFrame:
-    """Responses of runs that arrived after a later one was recorded.
+    """Responses that arrived after their run or a later one was recorded, with the reason.
 
     Fails with path-not-found as long as there are none.
     """
-    return _read(spark, out, "late", RANKINGS_RAW).drop("batch")
+    with_reason = StructType([*RANKINGS_RAW.fields]).add("reason", StringType())
+    return _read(spark, out, "late", with_reason).drop("batch")
