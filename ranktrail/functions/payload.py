@@ -29,14 +29,21 @@ ITEM_FIELDS = {
 
 
 def id_list(payload: Column) -> Column:
-    """Ordered IDs of a JSON list; NULL for no response, bad JSON or an empty list."""
-    ids = F.from_json(payload, "array<bigint>")
-    return F.when(F.size(ids) > 0, ids)
+    """Ordered IDs of a JSON list; NULL for no response, bad JSON or an empty list.
+
+    Elements are read as text, so an ID may be quoted. What is no integer leaves a NULL in its
+    place, and the elements around it keep their positions.
+    """
+    texts = F.from_json(payload, "array<string>")
+    return F.when(F.size(texts) > 0, F.transform(texts, lambda t: t.try_cast("bigint")))
 
 
 def marked_payload(payload: Column) -> Column:
-    """A landed payload, with a JSON null told apart from no response at all."""
-    return F.when(F.trim(payload) == "null", F.lit(JSON_NULL_MARKER)).otherwise(payload)
+    """A landed payload, with a JSON null told apart from no response at all.
+
+    White space around the null does not matter: a landed line may end in one.
+    """
+    return F.when(F.btrim(payload, F.lit(" \t\r\n")) == "null", F.lit(JSON_NULL_MARKER)).otherwise(payload)
 
 
 def json_fields(df: DataFrame, json: str, **fields: str) -> DataFrame:

@@ -36,7 +36,7 @@ def _best_positions(run: DataFrame, keys: list[str]) -> DataFrame:
         F.min(F.when(F.col("ranking") == i, F.col("position") + 1)).alias(column)
         for i, column in enumerate(RANK_COLUMNS)
     ]
-    return rows.groupBy(*keys).agg(*best)
+    return rows.filter(F.col("story_id").isNotNull()).groupBy(*keys).agg(*best)
 
 
 def rebuild_run_arrays(ranks: DataFrame) -> DataFrame:
@@ -134,10 +134,11 @@ def data_cube(run: DataFrame, run_story: DataFrame) -> DataFrame:
 
 def top_n_from_json(responses: DataFrame, below: int = 10) -> DataFrame:
     """Ranked rows of JSON lists, ranks below ``below``."""
+    first = F.slice(id_list(F.col("payload")), 1, max(0, below - 1))
     return (
-        responses.select("ts_run", "id", F.posexplode(id_list(F.col("payload"))))
+        responses.select("ts_run", "id", F.posexplode(first))
+        .filter(F.col("col").isNotNull())
         .select("ts_run", "id", (F.col("pos") + 1).alias("rank"), F.col("col").alias("story_id"))
-        .filter(F.col("rank") < below)
     )
 
 

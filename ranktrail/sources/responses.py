@@ -34,14 +34,23 @@ def _url(template: str, value: Column) -> Column:
     return F.format_string(template, value)
 
 
-def parse_rankings(responses: DataFrame, names=RANKINGS, url: str = RANKING_URL) -> DataFrame:
+def parse_rankings(
+    responses: DataFrame,
+    names=RANKINGS,
+    url: str = RANKING_URL,
+    runs: DataFrame | None = None,
+) -> DataFrame:
     """One row per run and requested list, its ordered IDs, and how the request went.
 
-    The runs are those with any response. The request set multiplies each run by the
-    few requested names, so responses are looked up by (run, name).
+    ``runs`` (ts_run) is the schedule: a run in which no fetch left a row still has its lists, all
+    failed. Without it the runs are those with any response. The request set multiplies each
+    run by the few requested names, so responses are looked up by (run, name).
     """
     wanted = F.explode(F.array(*[F.lit(n) for n in dict.fromkeys(names)])).alias("id")
-    requests = responses.select("ts_run").distinct().select("ts_run", wanted)
+    known = responses.select("ts_run")
+    if runs is not None:
+        known = known.unionAll(runs.select("ts_run"))
+    requests = known.distinct().select("ts_run", wanted)
     return (
         requests.join(
             responses.select("ts_run", "id", "payload", *RESPONSE_FIELDS), ["ts_run", "id"], "left"
