@@ -87,9 +87,13 @@ def _without_day(df: DataFrame) -> DataFrame:
 # --- collecting -------------------------------------------------------------------------
 
 
+def _parsed(s):
+    return responses.parse_rankings(s.rankings_raw, runs=s.run)
+
+
 @_query
 def parse_rankings(s):
-    return _as_text(responses.parse_rankings(s.rankings_raw), "payload")
+    return _as_text(_parsed(s), "payload")
 
 
 @_query
@@ -104,13 +108,12 @@ def extract_item_fields(s):
 
 @_query
 def assemble_run(s):
-    parsed = responses.parse_rankings(s.rankings_raw)
-    return _as_text(collect.assemble_run(parsed, "bench"), *RANKINGS)
+    return _as_text(collect.assemble_run(_parsed(s), "bench"), *RANKINGS)
 
 
 @_query
 def run_errors(s):
-    return collect.run_errors(responses.parse_rankings(s.rankings_raw))
+    return collect.run_errors(_parsed(s))
 
 
 def _outcomes(s):
@@ -129,10 +132,18 @@ def run_story_errors(s):
     return collect.run_story_errors(_outcomes(s))
 
 
-def _cycle(s):
-    latest = classify.latest_run(s.run)
+def _cycle(s, hour=None):
+    """The cycle of the last run, or of the last one at an hour of the day."""
+    known = s.run if hour is None else s.run.filter(F.hour("ts_run") == hour)
+    ts_run = classify.latest_run(known)
     return run_cycle(
-        s.rankings_raw, s.items_raw, before(s.run, latest), before(s.run_story, latest), _rules(s)
+        s.rankings_raw,
+        s.items_raw,
+        before(s.run, ts_run),
+        before(s.run_story, ts_run),
+        _rules(s),
+        ts_run,
+        runs=s.run,
     )
 
 
@@ -146,6 +157,16 @@ def run_cycle_errors(s):
     return _cycle(s).error
 
 
+@_query
+def run_cycle_failed_list(s):
+    return _cycle(s, hour=5).error
+
+
+@_query
+def run_cycle_retried_list(s):
+    return _cycle(s, hour=9).error
+
+
 # --- ranks and states ---------------------------------------------------------------------
 
 
@@ -232,7 +253,9 @@ def status_transitions(s):
 
 @_query
 def classify_reconcile(s):
-    return classify.classify_reconcile(_classified(s), s.run_story)
+    middle = classify.latest_run(s.run.filter("ts_run < timestamp_ntz '2024-01-16'"))
+    classified = classify.classify_stories(s.run, s.run_story, _rules(s), middle)
+    return classify.classify_reconcile(classified, s.run_story, as_of=middle)
 
 
 def _legacy_rules(s):
@@ -266,7 +289,7 @@ def stats_run_story(s):
 
 @_query
 def stats_run_story_coverage(s):
-    landed = collect.assemble_run(responses.parse_rankings(s.rankings_raw))
+    landed = collect.assemble_run(_parsed(s))
     return reports.stats_run_story_coverage(landed, s.run_story, s.error)
 
 
@@ -312,7 +335,7 @@ def _migrated(s):
         {
             "run": s.run.drop("extversion", "ruleset_id"),
             "run_story": s.run_story,
-            "story": s.run_story.select(F.col("story_id").alias("id"), "status"),
+            "story": s.run_story.select(F.col("story_id").alias("id"), "status").distinct(),
             "error": s.error.withColumnsRenamed(
                 {"error_source": "object", "source_id": "object_id"}
             ),
@@ -338,13 +361,32 @@ def migrate_v015_error(s):
 
 
 @_query
-def export_tables(s):
+def migrate_v015_story(s):
+    return _migrated(s)["story"]
+
+
+def _exported(s, table):
     path = shared_dir(s.spark, "export")
     maintenance.export_tables(
         {"run": s.run, "run_story": s.run_story, "error": s.error, "rules": sample_rules(s.spark)},
         path,
     )
-    return _without_day(read_table(s.spark, f"{path}/run_story"))
+    return _without_day(read_table(s.spark, f"{path}/{table}"))
+
+
+@_query
+def export_tables(s):
+    return _exported(s, "run_story")
+
+
+@_query
+def export_error(s):
+    return _exported(s, "error")
+
+
+@_query
+def export_run(s):
+    return _as_text(_exported(s, "run"), *RANKINGS)
 
 
 def _instances(s):
@@ -372,17 +414,19 @@ def merge_conflicts(s):
 
 @_query
 def replay_runs(s):
-    return replay_history(s.rankings_raw, s.items_raw, _rules(s)).run_story
+    return replay_history(s.rankings_raw, s.items_raw, _rules(s), runs=s.run).run_story
 
 
 @_query
 def replay_runs_window(s):
-    return replay_history(s.rankings_raw, s.items_raw, _rules(s, "bench_window")).run_story
+    return replay_history(
+        s.rankings_raw, s.items_raw, _rules(s, "bench_window"), runs=s.run
+    ).run_story
 
 
 @_query
 def replay_errors(s):
-    return replay_history(s.rankings_raw, s.items_raw, _rules(s)).error
+    return replay_history(s.rankings_raw, s.items_raw, _rules(s), runs=s.run).error
 
 
 @_query
@@ -398,7 +442,10 @@ def stream_cycle(s):
             slice_ = slice_.filter(F.col("ts_run") < F.lit(edges[i + 1]).cast("timestamp_ntz"))
         # a run's lists belong in one file
         _without_day(slice_).repartition("ts_run").write.mode("append").json(landing)
-        live.stream_cycle(s.spark, landing, lambda: s.items_raw, _rules(s), out).awaitTermination()
+        query = live.stream_cycle(
+            s.spark, landing, lambda: s.items_raw, _rules(s), out, schedule=lambda: s.run
+        )
+        query.awaitTermination()
     return live.collected(s.spark, out).run_story
 
 

@@ -3,7 +3,10 @@ from datetime import timedelta
 
 import pytest
 from conftest import START, at, rows, rules
+from pyspark.sql import functions as F
 
+from ranktrail import schema
+from ranktrail.functions.payload import id_list
 from ranktrail.operators.collect import (
     assemble_run,
     fetch_outcomes,
@@ -11,6 +14,7 @@ from ranktrail.operators.collect import (
     run_errors,
     run_story_errors,
 )
+from ranktrail.operators.ranks import stories_ranks
 from ranktrail.plans.cycle import run_cycle
 from ranktrail.schema import ITEMS_RAW, RANKINGS_RAW
 from ranktrail.sources.responses import (
@@ -169,3 +173,25 @@ def test_landed_files(spark, lists, items, tmp_path):
     raw = items((START, 1, '{"score":4}', 0), (START, 2, None, None))
     raw.write.json(str(tmp_path / "items"))
     assert rows(read_items(spark, str(tmp_path / "items"))) == rows(raw)
+
+
+def test_ids_may_be_text_and_neighbours_keep_their_ranks(spark):
+    df = spark.createDataFrame(
+        [('[1,"2",3]',), ("[1,2.5,3]",), ("[]",), ("nonsense",), (None,), ('[1,null,{"a":1},4]',)],
+        "payload string",
+    )
+    got = [r[0] for r in df.select(id_list(df.payload)).collect()]
+    assert got == [[1, 2, 3], [1, None, 3], None, None, None, [1, None, None, 4]]
+    run = spark.createDataFrame([(START, [1, None, 3], None, None, None, "v", "r")], schema.RUN)
+    assert rows(stories_ranks(run), "story_id", "topstories_rank") == [(1, 1), (3, 3)]
+
+
+def test_scheduled_run_without_any_response(spark):
+    raw = spark.createDataFrame(
+        [(START, "topstories", "u", "[1]", START, 0.5, 1, 0, 0.0)], schema.RANKINGS_RAW
+    )
+    plan = spark.createDataFrame([(START,), (at(5),)], "ts_run timestamp_ntz")
+    parsed = parse_rankings(raw, runs=plan)
+    assert parsed.count() == 6
+    assert [r.ts_run for r in assemble_run(parsed).collect() if r.topstories is None] == [at(5)]
+    assert run_errors(parsed).filter(F.col("ts_run") == at(5)).count() == 3

@@ -7,7 +7,9 @@ from conftest import SMALL, rules
 
 import __spark_entry__ as entry
 from ranktrail.operators.classify import classify_stories, latest_run
+from ranktrail.operators.maintenance import merge_conflicts, merge_instances
 from ranktrail.operators.status import story_state
+from ranktrail.schema import RUN_STORY
 from ranktrail.sources.samples import samples
 
 #: Their neighbour search orders a summary with one row per hour.
@@ -20,7 +22,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"stream_cycle"}))
+@pytest.mark.parametrize("name", sorted(set(entry._registered) - {"stream_cycle"}))
 def test_no_cross_joins_and_no_single_task_windows(spark, name):
     df = entry.queries()[name](spark, SMALL)
     plan = df._jdf.queryExecution().toString()
@@ -50,8 +52,17 @@ def test_state_is_one_hash_aggregation(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_lists_are_limited_before_the_shuffle(spark):
-    from ranktrail.sources.samples import runs
+def test_sample_events_are_all_used(spark):
+    s = samples(spark, SMALL)
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    assert s.base.agg({"n": "sum"}).first()[0] == events.count()
+    listed = s.run.selectExpr("sum(size(topstories))").first()[0]
+    assert listed == s.base.filter("clicks > 0").count()
+
 
-    plan = runs(samples(spark, SMALL).base)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") >= 6  # partial and final, for each list
+def test_records_are_merged_without_sorting(spark):
+    s = samples(spark, SMALL)
+    instances = [s.run_story.select(*RUN_STORY.names)] * 2
+    for merge in (merge_instances, merge_conflicts):
+        plan = plan_of(merge("run_story", instances))
+        assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1

@@ -9,6 +9,7 @@ from ranktrail.operators.status import story_state
 from ranktrail.plans.cycle import run_cycle
 from ranktrail.plans.replay import replay_history
 from ranktrail.schema import ITEMS_RAW, RANKINGS, RANKINGS_RAW
+from ranktrail.sources.tables import read_table, write_table
 from ranktrail.streaming.live import collected, late_runs, stream_cycle
 
 ERROR_KEY = ("ts_run", "error_source", "source_id", "report")
@@ -171,7 +172,61 @@ def test_late_and_repeated_runs(spark, tmp_path):
     got = collected(spark, str(tmp_path / "out"))
     want = replay_history(lists.filter(lists.ts_run.isin(kept)), items, SHORT)
     assert rows(got.run_story, *schema.RUN_STORY.names) == rows(want.run_story)
-    assert {r.ts_run for r in late_runs(spark, str(tmp_path / "out")).collect()} == {times[2]}
+    late = {(r.ts_run, r.reason) for r in late_runs(spark, str(tmp_path / "out")).collect()}
+    assert late == {(times[2], "later run recorded"), (kept[3], "run already recorded")}
+
+
+def test_lists_of_a_run_split_over_two_files_are_not_lost(spark, tmp_path):
+    times = uneven(3, 5)
+    lists, items = landed(spark, 5, times)
+    top = lists.filter("id = 'topstories'")
+    land(top, tmp_path, times)
+    run_stream(spark, items, tmp_path)
+    land(lists.filter("id <> 'topstories'"), tmp_path, times)
+    run_stream(spark, items, tmp_path)
+    late = late_runs(spark, str(tmp_path / "out"))
+    assert late.count() == lists.count() - top.count()
+
+
+def test_scheduled_runs_without_responses_are_recorded(spark, tmp_path):
+    times = uneven(8, 11)
+    lists, items = landed(spark, 11, times)
+    gone = [times[3], times[6]]
+    some = lists.filter(~lists.ts_run.isin(gone))
+    plan = spark.createDataFrame([(t,) for t in times], "ts_run timestamp_ntz")
+    want = replay_history(some, items, SHORT, runs=plan)
+    assert want.run.count() == len(times)
+    assert want.error.filter(want.error.ts_run.isin(gone) & (want.error.error_source == "run")).count() == 6
+    for part in ([times[0], times[1]], [times[2]], times[4:6], [times[7]]):
+        land(some, tmp_path, part)
+        run_stream(spark, items, tmp_path, schedule=lambda: plan)
+    got = collected(spark, str(tmp_path / "out"))
+    assert rows(got.run, *schema.RUN.names) == rows(want.run, *schema.RUN.names)
+    assert rows(got.run_story, *schema.RUN_STORY.names) == rows(want.run_story)
+    cycle = run_cycle(
+        some, items, want.run.filter(want.run.ts_run < times[6]),
+        want.run_story.filter(want.run_story.ts_run < times[6]), SHORT, times[6], runs=plan,
+    )
+    assert rows(cycle.run_story) == rows(want.run_story.filter(want.run_story.ts_run == times[6]))
+
+
+def test_a_batch_reads_its_own_days_and_the_last_state(spark, tmp_path):
+    """Whatever lies on earlier days is made unreadable before each batch."""
+    times = [at(1440 * day + 5 * i) for day in range(4) for i in range(1 + day % 2)]
+    lists, items = landed(spark, 12, times)
+    want = rows(replay_history(lists, items, SHORT).run_story)
+    write_table(items, str(tmp_path / "items"))
+    stored, out = read_table(spark, str(tmp_path / "items")), tmp_path / "out"
+    for day in range(4):
+        today = [t for t in times if t.date() == at(1440 * day).date()]
+        for folder in (tmp_path / "items").glob("run_date=*"):
+            if folder.name < f"run_date={today[0].date()}":
+                for file in folder.glob("*.parquet"):
+                    file.write_bytes(b"unreadable")
+        land(lists, tmp_path, today)
+        run_stream(spark, stored, tmp_path)
+        assert len(list((out / "state").glob("batch=*"))) <= 2
+    assert rows(collected(spark, str(out)).run_story, *schema.RUN_STORY.names) == want
 
 
 def test_batch_run_again_changes_nothing(spark, tmp_path):
