@@ -2,7 +2,8 @@
 
 Each document of a source is expected a number of times that grows with its length class. The
 whole part of that number is taken for certain; the rest is its inclusion probability in one
-Pareto sample per source, cut where the words taken come nearest to the source's target.
+Pareto sample per source. The sample takes documents in order as long as the source's target has
+room for them; one more document then fills the gap that is left as closely as any can.
 """
 
 from __future__ import annotations
@@ -75,8 +76,8 @@ def measured(docs: DataFrame) -> DataFrame:
 def draw_plan(sized: DataFrame, weights: tuple[int, ...], most: int = MOST_COPIES) -> DataFrame:
     """What decides every row's copies, by (source, class): at most a row per binary digit.
 
-    ``cell`` and ``cut`` tell where a source's Pareto sample ends: rows of earlier cells are
-    drawn, and those of that cell up to the cut. A null cell draws all.
+    ``end`` and ``cut`` tell where a source's Pareto sample ends: rows of earlier cells are
+    drawn, and those of that cell up to the cut; ``fill`` names one row more. A null end draws all.
     """
     aims = targets(sized, weights, most)
     cells = sized.groupBy("source", "class").agg(F.sum("size").alias("words"))
@@ -132,16 +133,36 @@ def draw_plan(sized: DataFrame, weights: tuple[int, ...], most: int = MOST_COPIE
         .orderBy("rank", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    reach = F.col("earlier") + F.coalesce(before, F.lit(0)) + F.col("size") / 2
+    size, room = F.col("size"), F.col("room")
+    fits = F.col("earlier") + F.coalesce(before, F.lit(0)) + size <= room
     key = F.struct("rank", "doc_id", "size")
     cuts = (
-        edge.withColumns({"reach": reach, "key": key})
+        edge.withColumns({"fits": fits, "key": key})
         .groupBy(F.col("source").alias("s"), "end")
-        .agg(F.max(F.when(F.col("reach") <= F.col("room"), F.col("key"))).alias("cut"))
+        .agg(
+            F.max(F.when(F.col("fits"), F.col("key"))).alias("cut"),
+            (
+                F.first("room")
+                - (F.first("earlier") + F.coalesce(F.sum(F.when(F.col("fits"), size)), F.lit(0)))
+            ).alias("gap"),
+        )
+    )
+    cuts = stored(cuts, "mix-cuts")
+    left = ranked.filter(F.col("rank").isNotNull()).join(cuts, F.col("source").eqNullSafe(F.col("s")))
+    left = left.filter(
+        (F.col("cell") > F.col("end"))
+        | ((F.col("cell") == F.col("end")) & (F.col("cut").isNull() | (key > F.col("cut"))))
     )
-    return stored(
-        expected.join(cuts, expected["source"].eqNullSafe(cuts["s"]), "left").drop("s"), "mix-plan"
+    miss = F.abs(F.col("gap") - size).alias("miss")
+    fills = (
+        left.filter(miss < F.col("gap"))
+        .groupBy(F.col("s").alias("f"))
+        .agg(F.min(F.struct(miss, "rank", "doc_id", "size")).alias("best"))
+        .select("f", F.struct(*[F.col("best")[c].alias(c) for c in ("rank", "doc_id", "size")]).alias("fill"))
     )
+    ends = expected.join(cuts, expected["source"].eqNullSafe(cuts["s"]), "left")
+    ends = ends.join(fills, F.col("source").eqNullSafe(F.col("f")), "left")
+    return stored(ends.drop("s", "f", "gap"), "mix-plan")
 
 
 def _ranked(sized: DataFrame, per_class: DataFrame) -> DataFrame:
@@ -167,9 +188,10 @@ def copies_of(sized: DataFrame, plan: DataFrame) -> DataFrame:
         F.col("end").isNull()
         | (F.col("cell") < F.col("end"))
         | ((F.col("cell") == F.col("end")) & F.col("cut").isNotNull() & (key <= F.col("cut")))
+        | key.eqNullSafe(F.col("fill"))
     )
     copies = F.floor("expected") + F.when(drawn, 1).otherwise(0)
-    return _ranked(sized, plan).withColumn("copies", copies.cast("long")).drop("cell", "end", "cut")
+    return _ranked(sized, plan).withColumn("copies", copies.cast("long")).drop("cell", "end", "cut", "fill")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES):
@@ -253,16 +275,21 @@ WITH sized AS (
 ), f AS (
   SELECT *, target - sum(size * floor(expected)) OVER (PARTITION BY source) AS room,
     coalesce(sum(CASE WHEN rank IS NOT NULL THEN size ELSE 0 END) OVER (PARTITION BY source
-      ORDER BY rank NULLS LAST, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-      + size / 2 AS reach
+      ORDER BY rank NULLS LAST, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
+      AS reach
   FROM r
+), p AS (
+  SELECT *, rank IS NOT NULL AND reach <= room AS fits,
+    room - coalesce(sum(size) FILTER (WHERE rank IS NOT NULL AND reach <= room)
+      OVER (PARTITION BY source), 0) AS gap
+  FROM f
+), x AS (
+  SELECT *, CAST(floor(expected) + CASE WHEN fits THEN 1 WHEN rank IS NOT NULL AND abs(gap - size) < gap
+    AND row_number() OVER (PARTITION BY source, fits OR rank IS NULL
+      ORDER BY abs(gap - size), rank, doc_id, size) = 1 THEN 1 ELSE 0 END AS BIGINT) AS copies
+  FROM p
 )
 SELECT doc_id, size::BIGINT AS size, source_size, target,
-  CAST((floor(expected) + CASE WHEN rank IS NOT NULL AND reach <= room THEN 1 ELSE 0 END) * size
-    AS BIGINT) AS taken,
-  source,
-  CAST(floor(expected) + CASE WHEN rank IS NOT NULL AND reach <= room THEN 1 ELSE 0 END AS BIGINT)
-    AS copies,
-  expected
-FROM f
+  copies * size AS taken, source, copies, expected
+FROM x
 """
