@@ -35,7 +35,7 @@ from ranktrail.llm.textbytes import (
 
 LENGTH = 400
 ANCHOR = 64  # bytes of an anchor
-INDEX_BYTES = 2_000_000  # context bytes an index is meant to hold
+INDEX_BYTES = 1_000_000  # context bytes an index is meant to hold
 MOST_CONTEXTS = 1_000  # distinct contexts of an anchor that one index takes
 FIRST_SORT = 7  # bytes compared in the first sort of suffixes; then twice as many each time
 
@@ -129,8 +129,9 @@ class RunIndex:
         alone = left[order] < FIRST_SORT
         new |= alone
         new[1:] |= alone[:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        place = np.arange(n, dtype=np.int32)
+        rank = np.empty(n, np.int32)
+        rank[order] = np.maximum.accumulate(np.where(new, place, 0))
         self.levels.append((FIRST_SORT, rank))
         reach = FIRST_SORT
         while reach < self.length:
@@ -141,7 +142,7 @@ class RunIndex:
             if len(open_):
                 items = order[open_]
                 behind = np.minimum(items + reach, n - 1)
-                pair = rank[items] * n + rank[behind]
+                pair = rank[items].astype(np.int64) * n + rank[behind]
                 by = np.argsort(pair, kind="stable")
                 items, pair = items[by], pair[by]
                 order[open_] = items
@@ -306,7 +307,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     contexts = stored(contexts, "contexts")
     shared = contexts.groupBy("fp").agg(F.sum("n").alias("places"), F.count("*").alias("kinds"))
     shared = shared.filter(F.col("places") > 1).drop("places")
-    shared = stored(contexts.join(shared, "fp"), "shared-contexts")
+    # a join of two plain tables can split an anchor with very many contexts
+    shared = stored(contexts.join(stored(shared, "shared-anchors"), "fp"), "shared-contexts")
     whole = shared.filter(F.col("n") > 1).select(
         "fp", "ctx", F.array(F.col("lo") - F.col("p"), F.col("hi") - F.col("p")).alias("spans")
     )
