@@ -13,6 +13,7 @@ with each other or with those at middle distance, so just these meet once more w
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -140,13 +141,13 @@ def _families(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges, stars, step = [], [], 0
     while True:
         centres = rows.groupBy("key").agg(F.min("id").alias("c"), F.count("*").alias("n"))
-        shared = rows.join(centres.filter(F.col("n") > 1), "key").filter(F.col("id") != F.col("c"))
+        # a join of two plain tables can split a busy bucket
+        centres = stored(centres.filter(F.col("n") > 1), f"centres-{step}")
+        shared = rows.join(centres, "key").filter(F.col("id") != F.col("c"))
         if step:
-            local = rows.join(centres.filter(F.col("n").between(2, LOCAL)).select("key"), "key")
+            local = rows.join(centres.filter(F.col("n") <= LOCAL).select("key"), "key")
             local = local.join(sigs, "id").select("key", "id", "sig")
-            met = local.groupBy("key").applyInArrow(
-                lambda table: _near_in_bucket(table), "a long, b long"
-            )
+            met = local.groupBy("key").applyInArrow(_near_in_bucket, "a long, b long")
             edges.append(stored(met.distinct(), f"bucket-edges-{step}"))
             shared = shared.filter(F.col("n") > LOCAL)
         shared = stored(shared.select("key", "id", "c"), f"buckets-{step}")
@@ -160,13 +161,10 @@ def _families(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
             apart, (F.col("c") == F.col("a")) & (F.col("id") == F.col("b"))
         ).select("id", "key")
         step += 1
-    empty = classes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    for more in edges:
-        empty = empty.unionByName(more)
-    all_stars = empty.limit(0).withColumn("est", F.lit(0.0))
-    for more in stars:
-        all_stars = all_stars.unionByName(more)
-    return empty.filter(F.col("a") != F.col("b")), all_stars
+    none = stored(sigs.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "no-edges")
+    all_edges = reduce(DataFrame.unionByName, edges, none)
+    all_stars = reduce(DataFrame.unionByName, stars, none.withColumn("est", F.lit(0.0)))
+    return all_edges.filter(F.col("a") != F.col("b")), all_stars
 
 
 def _sets(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -246,6 +244,7 @@ def _blocks(light: DataFrame) -> DataFrame:
         F.ceil(outside / QUERIES).cast("int").alias("nq"),
         F.ceil(F.col("m") / TARGETS).cast("int").alias("nt"),
     )
+    family = stored(family, "open-families")
     salt = F.xxhash64("id")
     rows = light.join(family, "family").withColumns(
         {
@@ -282,6 +281,7 @@ def _family_links(
     members = members.join(classes.select("id", "n"), "id")
     sets = stored(_sets(docs, members), "family-sets")
     large = members.groupBy("family").agg(F.sum("n").alias("m")).filter(F.col("m") > TARGETS)
+    large = stored(large, "large-families")
     centres = members.join(large, "family").select(F.col("id").alias("a"))
     likely = stars.filter(F.col("est") >= SURE).join(centres, "a", "semi").select("a", "b")
     first = stored(_exact(likely, sets, percent), "star-links")
