@@ -8,7 +8,7 @@ room for them; one more document then fills the gap that is left as closely as a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ranktrail.llm.common import documents, stored, unpacked, whole_rows, word_count
@@ -123,6 +123,7 @@ def draw_plan(sized: DataFrame, weights: tuple[int, ...], most: int = MOST_COPIE
     ends = slices.filter(
         (F.col("earlier") <= F.col("room")) & (F.col("earlier") + F.col("words") > F.col("room"))
     )
+    ends = stored(ends, "mix-ends")
     # only the slice in which a source's sample ends is put in order
     edge = ranked.filter(F.col("rank").isNotNull()).join(
         ends.withColumnRenamed("cell", "end"),

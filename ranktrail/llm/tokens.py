@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 
@@ -34,9 +34,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self._whole = Tokenizer.from_file(path)
+        self._path = path
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self._special = [t["content"] for t in described["added_tokens"]]
@@ -52,6 +51,12 @@ class Encoder:
             "ranks", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}
         )
 
+    @cached_property
+    def _whole(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self._path)
+
     def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self._special):
             return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)

@@ -149,6 +149,7 @@ def judge_urls(
             for w in ("trust", "distrust")
         ]
     )
+    scores = stored(scores, "host-scores")
     trust, distrust = (F.coalesce(F.col(w), F.lit(0.0)) for w in ("trust", "distrust"))
     spread = F.when(distrust - trust > margin, "block").otherwise("allow")
     results = {
