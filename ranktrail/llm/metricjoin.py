@@ -21,9 +21,9 @@ from ranktrail.llm.common import stored
 from ranktrail.llm.components import connected_components
 
 COSINE = 0.9
-CELL_ROWS = 2_000  # members a cell is meant to have; decides the number of pivots
+CELL_ROWS = 8_000  # members a cell is meant to have; decides the number of pivots
 MOST_PIVOTS = 4_096  # times the width of a vector: all that is broadcast
-BLOCK = 2_048  # members that one group holds, and a quarter of its visitors
+BLOCK = 8_192  # members that one group holds, and a quarter of its visitors
 SLACK = 1e-7  # for rounding in distances, far below any gap that decides a link
 
 
