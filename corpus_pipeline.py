@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ranktrail.llm import bestfit, minhash, mixing, quality, runindex
-from ranktrail.llm.common import documents, stored
+from ranktrail.llm.common import documents, stored, whole_rows
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the quality rules reject."""
+    """Drops documents that the quality rules reject; no column of the others changes."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.quality_rules(docs, labels).filter("kept").select(docs.columns)
+    rows = docs.select("doc_id", "text", whole_rows(docs).alias("given_"))
+    return quality.quality_rules(rows, labels).filter("kept").select("given_.*")
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ranktrail.llm import bestfit, minhash, mixing, quality, runindex
@@ -63,6 +64,17 @@ def test_run_is_the_registered_query(spark, steps):
     assert sorted(got.select(columns).collect()) == sorted(steps[-1].select(columns).collect())
 
 
+def test_columns_named_like_results_keep_their_values(spark):
+    docs = documents(spark, SMALL)
+    plain = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    names = ("score", "kept", "n_words", "row_", "given_", "th", "total")
+    more = docs.withColumns({n: F.lit(n) for n in names})
+    got = corpus_pipeline.quality_rules(spark, more, SMALL)
+    assert got.columns == more.columns
+    wanted = plain.withColumns({n: F.lit(n) for n in names})
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_stages_take_empty_tables(spark):
     empty = documents(spark, SMALL).limit(0)
     for _, stage in corpus_pipeline.STAGES:
