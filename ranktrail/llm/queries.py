@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ranktrail.llm import (
     bestfit,
+    centroids,
     extraction,
     metricjoin,
     minhash,
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_best_fit_packing": bestfit.op8_best_fit_packing,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_run_index_dedup": runindex.op10_run_index_dedup,
+    "op11_centroid_clustering": centroids.op11_centroid_clustering,
 }
 SQL = {
     "op2_pareto_mix": mixing.OP2_SQL,
     "op5_revisits": revisits.OP5_SQL,
     "op6_link_graph_filter": urlfilter.OP6_SQL,
+    "op11_centroid_clustering": centroids.OP11_SQL,
 }
