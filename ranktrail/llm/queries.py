@@ -13,6 +13,7 @@ from ranktrail.llm import (
     quality,
     revisits,
     runindex,
+    spelling,
     urlfilter,
 )
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_run_index_dedup": runindex.op10_run_index_dedup,
     "op11_centroid_clustering": centroids.op11_centroid_clustering,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 SQL = {
     "op2_pareto_mix": mixing.OP2_SQL,
