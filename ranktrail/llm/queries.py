@@ -6,6 +6,7 @@ from ranktrail.llm import (
     bestfit,
     centroids,
     extraction,
+    langid,
     metricjoin,
     minhash,
     mixing,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_run_index_dedup": runindex.op10_run_index_dedup,
     "op11_centroid_clustering": centroids.op11_centroid_clustering,
+    "op12_language_id": langid.op12_language_id,
     "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 SQL = {
