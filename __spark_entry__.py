@@ -30,7 +30,7 @@ from ranktrail.session import shared_dir  # noqa: E402
 from ranktrail.sources import responses  # noqa: E402
 from ranktrail.sources.samples import Samples, sample_rules, samples  # noqa: E402
 from ranktrail.sources.tables import at, before, read_table  # noqa: E402
-from ranktrail.streaming import live  # noqa: E402
+from ranktrail.streaming import live, stories  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -449,6 +449,31 @@ def stream_cycle(s):
     return live.collected(s.spark, out).run_story
 
 
+@_query
+def stream_stories(s):
+    """Land lists and responses in four time slices; state per story decides who is looked at."""
+    folder = shared_dir(s.spark, "stories")
+    first, last = s.run.agg(F.min("ts_run"), F.max("ts_run")).first()
+    edges = [first + (last - first) * i / 4 for i in range(4)]
+    landed = {"plan": s.run.select("ts_run"), "items": s.items_raw, "lists": s.rankings_raw}
+    streams = {}
+    for i, low in enumerate(edges):
+        for name, table in landed.items():
+            slice_ = table.filter(F.col("ts_run") >= F.lit(low).cast("timestamp_ntz"))
+            if i + 1 < len(edges):
+                slice_ = slice_.filter(F.col("ts_run") < F.lit(edges[i + 1]).cast("timestamp_ntz"))
+            slice_ = _without_day(slice_) if "run_date" in slice_.columns else slice_
+            slice_.write.mode("append").parquet(f"{folder}/{name}")
+            streams[name] = s.spark.readStream.schema(slice_.schema).parquet(f"{folder}/{name}")
+        query = stories.stream_stories(
+            streams["lists"], streams["items"], _rules(s), f"{folder}/out", streams["plan"], shards=8
+        )
+        query.awaitTermination()
+    return stories.collected_stories(
+        s.spark, s.rankings_raw, s.items_raw, _rules(s), f"{folder}/out", runs=s.run
+    ).run_story
+
+
 for _new, _name in (
     ("run_cycle_story", "run_cycle"),
     ("check_window", "check_time_window"),
