@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ranktrail.llm import bestfit, minhash, mixing, quality, runindex
 from ranktrail.llm.common import documents, stored, whole_rows
 
+PASSAGE_BYTES = 250  # what counts as a repeated passage: 50 words of this corpus are longer
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the quality rules reject; no column of the others changes."""
@@ -26,7 +28,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that repeat anywhere out of the texts."""
-    return runindex.without_repeats(docs)
+    return runindex.without_repeats(docs, PASSAGE_BYTES)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

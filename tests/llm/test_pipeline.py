@@ -32,7 +32,7 @@ def test_stages_act_on_all_they_get(spark, steps):
     groups = near_duplicates(_texts(good))
     assert sorted(_texts(distinct)) == sorted(i for i, (_, c) in groups.items() if i == c)
     before, after = _texts(distinct), _texts(cut)
-    for i, (n, removed, _, _) in zip(before, repeats(list(before.values()), 400), strict=True):
+    for i, (n, removed, _, _) in zip(before, repeats(list(before.values()), corpus_pipeline.PASSAGE_BYTES), strict=True):
         lost = n - len(after[i].encode())
         assert lost == removed or removed and removed <= lost <= removed + 6
     sized = mixing.measured(cut)
