@@ -6,8 +6,8 @@ task in time order, and a small state function walks through them. Between two r
 nothing about the story changes except its age, so the next run in which it falls due is
 looked up in the timeline instead of visiting every run.
 
-A story has at most one row per run (its ranks and its response are joined on the key
-first), and rows stream through a task in Arrow batches: nothing is gathered per story.
+A story has at most four rows per run (a place in each list and a response), and rows stream
+through a task in Arrow batches: nothing is gathered per story.
 Blocks bound the timeline each task holds, and the state between blocks is written to the
 shared folder, which also cuts the lineage.
 """
@@ -33,9 +33,9 @@ from ..operators.collect import (
     run_errors,
     run_story_errors,
 )
-from ..operators.ranks import RANK_COLUMNS, stories_ranks
+from ..operators.ranks import RANK_COLUMNS
 from ..ruleset import Ruleset
-from ..schema import CODE, COUNT_COLUMNS, RUN, STATUSES, status_name
+from ..schema import CODE, COUNT_COLUMNS, RANKINGS, RUN, STATUSES, status_name
 from ..session import shared_dir
 from ..sources.responses import parse_rankings
 from ..sources.tables import between, read_table, run_time, write_table
@@ -61,6 +61,8 @@ _AS_CLASSIFIED = -1
 # the state function travels with the query: executors need no installed copy of the package
 cloudpickle.register_pickle_by_value(ranktrail)
 
+_INPUT = ("at", *RANK_COLUMNS, "answer", "score", "descendants", "payload_ts", "counts", "code")
+
 _OUT_DDL = (
     "kind int, story_id bigint, ts bigint, code int, score int, descendants bigint, "
     "payload_ts bigint, counts array<bigint>"
@@ -237,7 +239,26 @@ def _walk(batches: Iterable[pa.RecordBatch], rules: Ruleset, timeline: list[int]
         out.clear()
         return batch
 
-    story = None
+    def settle(story, at, top, best, new, answer):
+        """One run of a story: its best places and its response, if any."""
+        i = index.get(at)
+        if i is None:
+            return
+        skip_to(story, i)
+        if top == best == new == _UNRANKED:
+            if story.last_ts is None:
+                return  # neither ranked nor known
+            due, code = logic.idle_due(story)
+        else:
+            code = logic.next_code(story, top, best, new)
+            due = logic.first_due(story, code, i)
+        story.at = i + 1
+        if due == i:
+            status, *result = answer or (_FAILED,)
+            record(story, i, code if status == _AS_CLASSIFIED else status, *result)
+
+    story, now, answer = None, None, None
+    top = best = new = _UNRANKED
     for batch in batches:
         sids, ats, tops, bests, news, answers, scores, comments, ends, counts, codes = batch.columns
         rows = zip(
@@ -246,36 +267,31 @@ def _walk(batches: Iterable[pa.RecordBatch], rules: Ruleset, timeline: list[int]
             _ints(tops, _UNRANKED),
             _ints(bests, _UNRANKED),
             _ints(news, _UNRANKED),
-            _ints(answers, _FAILED),
+            _ints(answers, _UNRANKED),
         )
-        for row, (sid, at, top, best, new, answer) in enumerate(rows):
-            if story is None or story.id != sid:
-                if story is not None:
-                    finish(story)
-                story = _Story(sid)
+        for row, (sid, at, t, b, n, status) in enumerate(rows):
+            if story is None or story.id != sid or at != now:
+                if now is not None:
+                    settle(story, now, top, best, new, answer)
+                if story is None or story.id != sid:
+                    if story is not None:
+                        finish(story)
+                    story = _Story(sid)
+                now, answer = at, None
+                top = best = new = _UNRANKED
             if at == _STORED_STATE:  # first of its story
                 story.counts, story.last_ts = counts[row].as_py(), ends[row].as_py()
                 story.code, story.score = codes[row].as_py(), scores[row].as_py()
+                now = None
                 continue
-            i = index.get(at)
-            if i is None:
-                continue
-            skip_to(story, i)
-            if top == best == new == _UNRANKED:
-                if story.last_ts is None:
-                    continue  # neither ranked nor known
-                due, code = logic.idle_due(story)
-            else:
-                code = logic.next_code(story, top, best, new)
-                due = logic.first_due(story, code, i)
-            story.at = i + 1
-            if due == i:
-                status = code if answer == _AS_CLASSIFIED else answer
-                result = scores[row].as_py(), comments[row].as_py(), ends[row].as_py()
-                record(story, i, status, *result)
+            top, best, new = min(top, t), min(best, b), min(new, n)
+            if status != _UNRANKED:
+                answer = status, scores[row].as_py(), comments[row].as_py(), ends[row].as_py()
         if len(out) >= 10_000:
             yield flush()
     if story is not None:
+        if now is not None:
+            settle(story, now, top, best, new, answer)
         finish(story)
     yield flush()
 
@@ -285,47 +301,41 @@ def _micros(column: str):
 
 
 def _inputs(run: DataFrame, items_raw: DataFrame, state: DataFrame | None) -> DataFrame:
-    """Rows for :func:`_walk`: a story's state, then its ranks and responses by run."""
-    responses = json_fields(items_raw, "payload", **RECORDED_FIELDS).select(
-        "ts_run",
-        F.col("id").alias("story_id"),
-        outcome_code(
-            marked_payload(F.col("payload")), F.col("deleted"), F.lit(_AS_CLASSIFIED)
-        ).alias("answer"),
-        "score",
-        "descendants",
-        _micros("ts_end").alias("payload_ts"),
-    )
-    rows = (
-        stories_ranks(run)
-        .join(responses, ["ts_run", "story_id"], "full_outer")
-        .select(
-            "story_id",
-            _micros("ts_run").alias("at"),
-            *RANK_COLUMNS,
-            "answer",
-            "score",
-            "descendants",
-            "payload_ts",
-            F.lit(None).cast("array<bigint>").alias("counts"),
-            F.lit(None).cast("int").alias("code"),
-        )
+    """Rows for :func:`_walk`: a story's state, and its places in lists and responses by run.
+
+    They are stacked, not joined: the walk meets what belongs to one run of a story in neighbouring
+    rows, so the shuffle that brings a story's rows together is the only one.
+    """
+    null_int, null_long = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+    empty = {"at": null_long, "answer": null_int, "score": null_int, "descendants": null_long,
+             "payload_ts": null_long, "counts": F.lit(None).cast("array<bigint>"), "code": null_int}
+    empty |= {c: null_int for c in RANK_COLUMNS}
+
+    def rows(df: DataFrame, **columns) -> DataFrame:
+        given = empty | columns
+        return df.select("story_id", *[given[c].alias(c) for c in _INPUT])
+
+    lists = ", ".join(f"{i}, {name}" for i, name in enumerate(RANKINGS))
+    places = run.select("ts_run", F.expr(f"stack({len(RANKINGS)}, {lists}) AS (ranking, ids)")).select(
+        "ts_run", "ranking", F.posexplode("ids").alias("position", "story_id")
     )
+    place = F.col("position") + 1
+    ranks = {c: F.when(F.col("ranking") == i, place) for i, c in enumerate(RANK_COLUMNS)}
+    ranked = rows(places.filter(F.col("story_id").isNotNull()), at=_micros("ts_run"), **ranks)
+    responses = json_fields(items_raw, "payload", **RECORDED_FIELDS).withColumn("story_id", F.col("id"))
+    answer = outcome_code(marked_payload(F.col("payload")), F.col("deleted"), F.lit(_AS_CLASSIFIED))
+    answered = rows(
+        responses, at=_micros("ts_run"), answer=answer, score=F.col("score"),
+        descendants=F.col("descendants"), payload_ts=_micros("ts_end"),
+    )
+    stacked = ranked.unionByName(answered)
     if state is None:
-        return rows
-    null_int = F.lit(None).cast("int")
-    states = state.select(
-        "story_id",
-        F.lit(None).cast("bigint").alias("at"),
-        *[null_int.alias(c) for c in RANK_COLUMNS],
-        null_int.alias("answer"),
-        F.col("last_score").alias("score"),
-        F.lit(None).cast("bigint").alias("descendants"),
-        _micros("last_ts").alias("payload_ts"),
-        F.array(*COUNT_COLUMNS).alias("counts"),
-        F.col("last_code").alias("code"),
-    )
-    return rows.unionByName(states)
+        return stacked
+    states = rows(
+        state, score=F.col("last_score"), payload_ts=_micros("last_ts"),
+        counts=F.array(*COUNT_COLUMNS), code=F.col("last_code"),
+    )
+    return stacked.unionByName(states)
 
 
 def replay_block(
