@@ -23,13 +23,14 @@ from ranktrail.operators import (  # noqa: E402
     status,
 )
 from ranktrail.plans.cycle import run_cycle  # noqa: E402
+from ranktrail.plans import snapshots  # noqa: E402
 from ranktrail.plans.replay import replay_history  # noqa: E402
 from ranktrail.ruleset import load_ruleset  # noqa: E402
 from ranktrail.schema import RANKINGS, RUN_STORY  # noqa: E402
 from ranktrail.session import shared_dir  # noqa: E402
-from ranktrail.sources import responses  # noqa: E402
+from ranktrail.sources import histories, responses  # noqa: E402
 from ranktrail.sources.samples import Samples, sample_rules, samples  # noqa: E402
-from ranktrail.sources.tables import at, before, read_table  # noqa: E402
+from ranktrail.sources.tables import at, before, read_table, write_table  # noqa: E402
 from ranktrail.streaming import live, stories  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -185,6 +186,15 @@ def story_timeline(s):
     return ranks.story_timeline(s.run, s.run_story)
 
 
+@_query
+def story_history(s):
+    """The timeline of one story, looked up in the layout by story."""
+    path = shared_dir(s.spark, "histories")
+    histories.append_histories(s.run, s.run_story, path, shelves=8)
+    story_id = s.run_story.agg(F.min("story_id")).first()[0]
+    return histories.story_history(s.spark, path, story_id, shelves=8)
+
+
 @_query
 def data_cube(s):
     return ranks.data_cube(s.run, s.run_story)
@@ -258,6 +268,15 @@ def classify_reconcile(s):
     return classify.classify_reconcile(classified, s.run_story, as_of=middle)
 
 
+@_query
+def classify_stories_snapshot(s):
+    """A run in the middle of history, from the snapshot of the day before."""
+    folder = shared_dir(s.spark, "snapshots")
+    middle = classify.latest_run(s.run.filter("ts_run < timestamp_ntz '2024-01-16'"))
+    snapshots.extend_snapshots(before(s.run_story, middle), folder)
+    return snapshots.classify_as_of(s.run, s.run_story, _rules(s), middle, folder)
+
+
 def _legacy_rules(s):
     r = _rules(s)
     shared = {f: getattr(r, f) for f in legacy.LegacyRuleset.__dataclass_fields__ if hasattr(r, f)}
@@ -329,6 +348,15 @@ def mark_stale_unknown(s):
     return _without_day(maintenance.mark_stale_unknown(s.run, s.run_story))
 
 
+@_query
+def rewrite_stale_unknown(s):
+    """The same on a stored table, by rewriting the days that change."""
+    path = shared_dir(s.spark, "restated-table")
+    write_table(s.run_story.select(*RUN_STORY.names), path)
+    maintenance.rewrite_stale_unknown(s.run, path)
+    return _without_day(read_table(s.spark, path, RUN_STORY))
+
+
 def _migrated(s):
     spark = s.spark
     return maintenance.migrate_v015(
@@ -404,6 +432,16 @@ def merge_instances(s):
     return maintenance.merge_instances("run_story", _instances(s))
 
 
+@_query
+def merge_errors(s):
+    """Three collections of errors: some, the same ones with less in the report, and others later."""
+    columns = ("ts_run", "error_source", "source_id", "report")
+    first = s.error.select(*columns).filter(F.hour("ts_run") % 2 == 0)
+    second = s.error.select(*columns).withColumn("report", F.lit("{}"))
+    third = s.error.select(*columns).withColumn("ts_run", F.col("ts_run") + F.expr("INTERVAL 30 MINUTE"))
+    return maintenance.merge_instances("error", [first, second, second.unionAll(third)])
+
+
 @_query
 def merge_conflicts(s):
     return maintenance.merge_conflicts("run_story", _instances(s))

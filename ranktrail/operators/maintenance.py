@@ -1,6 +1,7 @@
 """Whole-table work: migrating, exporting and merging collections, flagging stale stories."""
 
 import os
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +13,14 @@ from ..schema import (
     MIGRATED_VERSION,
     MIGRATION_BUILTINS,
     RANKINGS,
+    RUN_STORY,
     checked_error_source,
     checked_status,
     status_code,
     status_name,
 )
-from ..sources.tables import run_time, write_table
+from ..session import shared_dir
+from ..sources.tables import DAY_COLUMN, read_table, run_time, write_table
 from .classify import latest_run
 from .ranks import ranks_at
 
@@ -93,8 +96,9 @@ def merge_instances(table: str, instances: list[DataFrame]) -> DataFrame:
 
     Of rows with one key, that of the earliest instance in the list stays; a key is unique within
     an instance. Records are fixed-width (the status as its code), so one hash aggregation,
-    combined before the shuffle, picks each column from the earliest instance. Tables with text
-    or lists take from each instance the rows whose key no earlier one has.
+    combined before the shuffle, picks each column from the earliest instance. Of tables with text
+    or lists only the keys are aggregated, to the instance that owns each; then every instance gives
+    the rows it owns. So each is read twice, however many there are.
     """
     key = KEYS[table]
     columns = instances[0].columns
@@ -104,10 +108,17 @@ def merge_instances(table: str, instances: list[DataFrame]) -> DataFrame:
         picked = {c: F.min_by(c, "instance").alias(c) for c in columns if c not in key}
         merged = rows.groupBy(*key).agg(*picked.values())
         return merged.withColumn("status", status_name("status")).select(*columns)
-    merged = instances[0]
-    for other in instances[1:]:
-        fresh = other.join(merged.select(*key), list(key), "left_anti")
-        merged = merged.unionByName(fresh.select(*columns))
+    owners = _stacked([df.select(*key) for df in instances])
+    owners = owners.groupBy(*key).agg(F.min("instance").alias("instance"))
+    path = shared_dir(owners.sparkSession, "owners")
+    owners.write.partitionBy("instance").parquet(path)
+    kinds = {f.name: f.dataType.simpleString() for f in owners.schema}
+    stored = owners.sparkSession.read.schema(", ".join(f"{c} {k}" for c, k in kinds.items())).parquet(path)
+    merged = None
+    for i, df in enumerate(instances):
+        owned = stored.filter(F.col("instance") == i).drop("instance")
+        part = df.join(owned, list(key), "left_semi").select(*columns)
+        merged = part if merged is None else merged.unionByName(part)
     return merged
 
 
@@ -159,6 +170,11 @@ def mark_stale_unknown(
     """
     if ts_run is None:
         ts_run = latest_run(run)
+    return _marked(run_story, _stale(run, run_story, ts_run, min_age))
+
+
+def _stale(run: DataFrame, run_story: DataFrame, ts_run, min_age: float | None) -> DataFrame:
+    """(ts_run, story_id) of the last records of stories not ranked at the run."""
     stale = (
         run_story.groupBy("story_id")
         .agg(F.max("ts_run").alias("ts_run"))
@@ -166,8 +182,50 @@ def mark_stale_unknown(
     )
     if min_age is not None:
         stale = stale.filter(is_older(run_time(run, ts_run), F.col("ts_run"), min_age))
+    return stale.select("ts_run", "story_id")
+
+
+def _marked(run_story: DataFrame, stale: DataFrame) -> DataFrame:
     marked = run_story.join(
         stale.withColumn("_stale", F.lit(True)), ["ts_run", "story_id"], "left"
     )
     status = F.when(F.col("_stale"), F.lit("unknown")).otherwise(F.col("status"))
     return marked.withColumn("status", status).select(*run_story.columns)
+
+
+def rewrite_stale_unknown(
+    run: DataFrame, path: str, ts_run=None, min_age: float | None = None
+) -> list[date]:
+    """:func:`mark_stale_unknown` on a stored table, in place; returns the days rewritten.
+
+    Only days that hold a last record whose status changes are written, first to the shared
+    folder and from there over the old ones. Spark exchanges whole day directories when the write is
+    committed, so a job that fails before leaves the table as it was; run again, it does what is left.
+    Days already marked and all other days keep their files.
+    """
+    spark = run.sparkSession
+    if ts_run is None:
+        ts_run = latest_run(run)
+    records = read_table(spark, path, RUN_STORY)
+    stale_path, staged = shared_dir(spark, "stale"), shared_dir(spark, "restated")
+    keys = _stale(run, records, ts_run, min_age).withColumn("status", F.lit("unknown"))
+    # a last record that is marked already is no change
+    same = records.select("ts_run", "story_id", "status")
+    changed = keys.join(same, ["ts_run", "story_id", "status"], "left_anti").drop("status")
+    changed.write.parquet(stale_path)
+    stale = spark.read.schema("story_id bigint, ts_run timestamp_ntz").parquet(stale_path)
+    day = F.to_date("ts_run")
+    days = [r.day for r in stale.select(day.alias("day")).distinct().orderBy("day").collect()]
+    if not days:
+        return []
+    write_table(_marked(records.filter(F.col(DAY_COLUMN).isin(days)).drop(DAY_COLUMN), stale), staged)
+    (
+        read_table(spark, staged, RUN_STORY)
+        .hint("rebalance", DAY_COLUMN)
+        .sortWithinPartitions(DAY_COLUMN, "ts_run")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY_COLUMN)
+        .parquet(path)
+    )
+    return days
