@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktrail.llm.common import stored
@@ -27,12 +27,11 @@ BLOCK = 8_192  # members that one group holds, and a quarter of its visitors
 SLACK = 1e-7  # for rounding in distances, far below any gap that decides a link
 
 
-def _clean(vectors: DataFrame) -> DataFrame:
-    """Vectors that can link; the others have no neighbours."""
+def _linkable() -> Column:
+    """Can a row's vector link? The others have no neighbours."""
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
-    known = vectors.filter(F.col("vec_id").isNotNull() & F.coalesce(good & some, F.lit(False)))
-    return known.select("vec_id", F.col("embedding").alias("v"))
+    return F.col("vec_id").isNotNull() & F.coalesce(good & some, F.lit(False))
 
 
 def _units(column: pa.Array) -> np.ndarray:
@@ -53,17 +52,18 @@ def range_join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     ``n_links`` counts the other rows whose cosine in double precision is at least ``cosine``
-    (above 0); ``component_id`` is the smallest vec_id reachable over links, itself included. A
+    (above 0); ``component_id`` is the smallest vec_id of the rows reachable over links, itself included. A
     vector that is null, empty, zero or has null or non-finite components links with nothing. Vectors of
     different widths do not link. Equal vectors are compared once and counted each; rows with a
     repeated vec_id are rows of their own, a null vec_id stays null with no link. Columns besides
     vec_id and embedding are ignored. An empty table gives no rows.
     """
     everyone = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    clean = _clean(everyone)
+    clean = everyone.filter(_linkable()).select("vec_id", F.col("embedding").alias("v"))
+    # equal vectors are one node, named by their hash: rows of one vec_id may hold different ones
     groups = stored(
-        clean.groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"))
-        .withColumn("width", F.size("v")),
+        clean.groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+        .withColumns({"width": F.size("v"), "id": F.xxhash64("v")}),
         "vectors",
     )
     widths = [w["width"] for w in groups.select("width").distinct().collect()]
@@ -77,11 +77,12 @@ def range_join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     components = connected_components(edges, "vector-components")
     classes = groups.join(totals, "id").join(
         components.withColumnRenamed("node", "id"), "id", "left"
-    ).select("v", "links", F.coalesce("component", "id").alias("component"))
-    ids = clean.join(classes, "v").select(
-        "vec_id", (F.col("links") - 1).alias("n_links"), F.col("component").alias("component_id")
-    )
-    rest = everyone.join(ids.select("vec_id").distinct(), "vec_id", "anti").select(
+    ).select("v", "links", "least", F.coalesce("component", "id").alias("node"))
+    classes = stored(classes, "vector-classes")
+    least = stored(classes.groupBy("node").agg(F.min("least").alias("component_id")), "class-ids")
+    classes = classes.drop("least").join(least, "node")
+    ids = clean.join(classes, "v").select("vec_id", (F.col("links") - 1).alias("n_links"), "component_id")
+    rest = everyone.filter(~_linkable()).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     return ids.unionByName(rest).withColumn(

@@ -61,3 +61,16 @@ def test_components_of_chains_stars_and_loops(spark):
     real = [(a, b) for a, b in links if a is not None and a != b]
     assert found == roots({x for pair in real for x in pair}, real)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_that_share_a_vec_id_stay_apart(spark):
+    """A vector that cannot link beside one that can, and two different vectors, under one vec_id."""
+    rows = [
+        (1, [1.0, 0.0], 0), (1, None, 0), (1, [0.0, 0.0], 0), (2, [1.0, 0.01], 0), (3, [0.0, 1.0], 0),
+        (3, [0.0, 1.0], 0), (2, [0.01, 1.0], 0),
+    ]
+    got = metricjoin.range_join(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(tuple(r) for r in got) == sorted([
+        (1, 1, 1, True), (1, 0, 1, True), (1, 0, 1, True), (2, 1, 1, False),
+        (3, 2, 2, False), (3, 2, 2, False), (2, 2, 2, True),
+    ])
