@@ -26,10 +26,13 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    count, problems = check(spark, duck, SMALL, name, QUERIES[name], SQL[name])
+    folder, con = SMALL, duck
+    if name == "run_story_errors":  # the last run of the smallest scale happens to have none
+        folder = SMALL.replace("sf0.001", "sf0.01")
+        con = connect(folder)
+    count, problems = check(spark, con, folder, name, QUERIES[name], SQL[name])
     assert not problems
-    # the last run of the smallest scale happens to have no story errors
-    assert count > 0 or name == "run_story_errors"
+    assert count > 0
 
 
 def test_sql_holds_only_the_tables_it_needs():
