@@ -9,8 +9,8 @@ own that a repeated batch overwrites, so a restart neither loses nor doubles row
 A batch reads the responses of its own days, and the state and progress of the batch before it.
 A batch of a single run, the usual one, is classified by joins alone; several runs are replayed.
 The state has a row per story ever seen; states older than the last two are removed. Many
-small batches leave many small files; once in a while ``export_tables`` over
-:func:`collected` stores them by day.
+small batches leave many small files, which ``compaction.compact`` gathers by day, also while the
+stream runs.
 
 Statuses depend on order. Responses of a run that is older than the last recorded one, or
 recorded already, are set aside in ``late`` with the reason.
@@ -40,6 +40,7 @@ from ..schema import ERROR, RANKINGS_RAW, RUN, STORY_STATE
 from ..session import remove
 from ..sources.responses import parse_rankings, read_rankings
 from ..sources.tables import at, between, run_time
+from .compaction import stream_table
 
 
 _PROGRESS = "last_ts timestamp_ntz"
@@ -110,7 +111,7 @@ def _handle(
         newest = run_time(batch, last)
         new, behind = batch.filter(F.col("ts_run") > newest), batch.filter(F.col("ts_run") <= newest)
         if not behind.isEmpty():  # rare: only then the runs so far are looked at
-            runs = _read(spark, out, "run", RUN).filter(F.col("batch") < number).select("ts_run")
+            runs = stream_table(spark, out, "run", before_batch=number).select("ts_run")
             recorded = runs.withColumn("known", F.lit(True))
             reason = F.when(F.col("known"), "run already recorded").otherwise("later run recorded")
             late = behind.join(recorded, "ts_run", "left").withColumn("reason", reason)
@@ -156,9 +157,9 @@ def collected(spark: SparkSession, out: str) -> Replay:
     states = _read(spark, out, "state", STORY_STATE)
     newest = states.agg(F.max("batch")).scalar()
     return Replay(
-        run=_read(spark, out, "run", RUN).drop("batch"),
-        run_story=block_records(read_blocks(spark, f"{out}/blocks", "batch")),
-        error=_read(spark, out, "error", ERROR).drop("batch"),
+        run=stream_table(spark, out, "run"),
+        run_story=stream_table(spark, out, "run_story"),
+        error=stream_table(spark, out, "error"),
         state=states.filter(F.col("batch") == newest).drop("batch"),
     )
 
