@@ -381,7 +381,9 @@ def _marked(docs: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Digest of what stays: doc_id, n_bytes, n_removed, n_spans, kept_sha256 per document.
+    """What stays, and its digest: doc_id, n_bytes, n_removed, n_spans, kept_sha256, text per document.
+
+    ``text`` is what is left, without what a cut leaves of a character of several bytes; null if it was null.
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else in any
     text, repeated rows included. Null text is empty; a null doc_id stays null. Other columns are
@@ -392,6 +394,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             texts, spans = batch["text"].to_pylist(), batch["spans"].to_pylist()
             rows = [_without(t, s) for t, s in zip(texts, spans, strict=True)]
+            left = [None if t is None else r[0].decode("utf-8", "ignore") for t, r in zip(texts, rows, strict=True)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch["doc_id"],
@@ -399,6 +402,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     "n_removed": pa.array([r[2] for r in rows], pa.int64()),
                     "n_spans": pa.array([r[3] for r in rows], pa.int64()),
                     "kept_sha256": pa.array([hashlib.sha256(r[0]).hexdigest() for r in rows], pa.string()),
+                    "text": pa.array(left, pa.string()),
                 }
             )
 
@@ -407,7 +411,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         _marked(columns, length)
         .select("row_.doc_id", "row_.text", "spans")
         .mapInArrow(
-            digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+            digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
         )
     )
 
