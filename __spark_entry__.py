@@ -19,6 +19,7 @@ from ranktrail.operators import (  # noqa: E402
     legacy,
     maintenance,
     ranks,
+    report_state,
     reports,
     status,
 )
@@ -308,8 +309,28 @@ def stats_run_story(s):
 
 @_query
 def stats_run_story_coverage(s):
-    landed = collect.assemble_run(_parsed(s))
-    return reports.stats_run_story_coverage(landed, s.run_story, s.error)
+    return reports.landed_coverage(_parsed(s), s.run_story, s.error)
+
+
+def _reported(s):
+    """The counts of all runs, stored by two batches."""
+    folder = shared_dir(s.spark, "report")
+    middle = classify.latest_run(s.run.filter("ts_run < timestamp_ntz '2024-01-16'"))
+    after = F.col("ts_run") > F.lit(middle).cast("timestamp_ntz")
+    for batch, part in enumerate((~after, after)):
+        tables = (_parsed(s), s.run_story, s.error)
+        report_state.update_report(*[t.filter(part) for t in tables], folder, batch)
+    return folder
+
+
+@_query
+def coverage_report(s):
+    return report_state.coverage_report(s.spark, _reported(s))
+
+
+@_query
+def story_report(s):
+    return report_state.story_report(s.spark, _reported(s))
 
 
 @_query

@@ -39,6 +39,16 @@ def _best_positions(run: DataFrame, keys: list[str]) -> DataFrame:
     return rows.filter(F.col("story_id").isNotNull()).groupBy(*keys).agg(*best)
 
 
+def landed_ranks(rankings: DataFrame) -> DataFrame:
+    """:func:`stories_ranks` straight from parsed lists (one row per run and list), none assembled."""
+    rows = rankings.select("ts_run", "id", F.posexplode("payload").alias("position", "story_id"))
+    best = [
+        F.min(F.when(F.col("id") == name, F.col("position") + 1)).alias(column)
+        for name, column in zip(RANKINGS, RANK_COLUMNS)
+    ]
+    return rows.filter(F.col("story_id").isNotNull()).groupBy("ts_run", "story_id").agg(*best)
+
+
 def rebuild_run_arrays(ranks: DataFrame) -> DataFrame:
     """Inverse of :func:`stories_ranks`: the ordered lists of each run.
 

@@ -9,7 +9,7 @@ from ..functions.times import micros_between
 from ..schema import RANKINGS
 from ..sources.tables import before, run_time
 from .ordered import neighbours
-from .ranks import RANK_COLUMNS, stories_ranks, with_few_ranks
+from .ranks import RANK_COLUMNS, landed_ranks, stories_ranks, with_few_ranks
 
 #: Statuses with a count column, in report order.
 COUNTED = ("new", "hot", "tepid", "cooling", "cold", "frozen", "deleted", "missing", "failed")
@@ -89,8 +89,26 @@ def stats_run_story_coverage(
     whose total counts that row. Everything per story is joined on (ts_run, story_id) and
     reduced to a row per run before the run's lists come in.
     """
-    ranks = stories_ranks(run)
-    counts = (
+    listed = run.select("ts_run", *[_listed(n).alias(f"_{n}_listed") for n in RANKINGS])
+    return covered(listed, run_counts(stories_ranks(run), run_story, error))
+
+
+def landed_coverage(rankings: DataFrame, run_story: DataFrame, error: DataFrame) -> DataFrame:
+    """:func:`stats_run_story_coverage` from parsed lists: places and sizes are read off the lists as
+    they landed, so no run's lists are put together first and every aggregation is by hash."""
+    return covered(list_sizes(rankings), run_counts(landed_ranks(rankings), run_story, error))
+
+
+def list_sizes(rankings: DataFrame) -> DataFrame:
+    """Per run the size of each parsed list, NULL where it was not collected."""
+    size = F.size("payload")
+    sizes = [F.max(F.when((F.col("id") == n) & (size > 0), size)).alias(f"_{n}_listed") for n in RANKINGS]
+    return rankings.groupBy("ts_run").agg(*sizes)
+
+
+def run_counts(ranks: DataFrame, run_story: DataFrame, error: DataFrame) -> DataFrame:
+    """Per run with records: additive counts, and the time of the last response."""
+    return (
         run_story.select("ts_run", "story_id", "status", "ts_payload")
         .join(ranks, ["ts_run", "story_id"], "left")
         .join(_story_errors(error), ["ts_run", "story_id"], "left")
@@ -103,7 +121,10 @@ def stats_run_story_coverage(
             F.max("ts_payload").alias("_end"),
         )
     )
-    listed = run.select("ts_run", *[_listed(n).alias(f"_{n}_listed") for n in RANKINGS])
+
+
+def covered(listed: DataFrame, counts: DataFrame) -> DataFrame:
+    """The report from the sizes of the lists and the counts, each a row per run."""
     joined = listed.join(counts, "ts_run", "left")
 
     def coverage(name: str) -> Column:
