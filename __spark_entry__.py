@@ -16,6 +16,7 @@ from ranktrail.functions.times import calendar_age_micros, check_time_window  #
 from ranktrail.operators import (  # noqa: E402
     classify,
     collect,
+    export,
     legacy,
     maintenance,
     ranks,
@@ -438,6 +439,17 @@ def export_run(s):
     return _as_text(_exported(s, "run"), *RANKINGS)
 
 
+@_query
+def export_changed(s):
+    """An export of the first half, brought up to date."""
+    path = shared_dir(s.spark, "export-changed")
+    tables = {"run": s.run, "run_story": s.run_story, "error": s.error}
+    early = F.col("ts_run") < F.lit("2024-01-16").cast("timestamp_ntz")
+    export.export_changed({n: t.filter(early) for n, t in tables.items()}, path)
+    export.export_changed(tables, path)
+    return _without_day(read_table(s.spark, f"{path}/run_story", RUN_STORY))
+
+
 def _instances(s):
     """The records, and a second collection that saw some of them later and scored higher."""
     first = s.run_story.select(*RUN_STORY.names)

@@ -6,9 +6,11 @@ from pathlib import Path
 
 import pytest
 from conftest import START, at, rows, rules
+from pyspark.sql import functions as F
 
 from ranktrail import schema
 from ranktrail.operators.classify import classify_stories
+from ranktrail.operators.export import export_changed
 from ranktrail.operators.maintenance import mark_stale_unknown, merge_instances, rewrite_stale_unknown
 from ranktrail.operators.ranks import story_timeline
 from ranktrail.operators.status import story_state
@@ -144,3 +146,29 @@ def test_merging_three_instances_of_runs_and_errors(spark, runs, tmp_path):
     two = [(START, "run", "x", "2"), (START, "run", "y", "2")]
     errors = [spark.createDataFrame(r, schema.ERROR) for r in (one, two, two + one)]
     assert rows(merge_instances("error", errors), "source_id", "report") == [("5", "1"), ("x", "1"), ("y", "2")]
+
+
+def test_export_writes_only_days_that_changed(spark, history, tmp_path):
+    run, run_story, times = history
+    path, errors = str(tmp_path / "export"), spark.createDataFrame([(times[0], "run", "x", "1")], schema.ERROR)
+    first = export_changed({"run": run, "run_story": run_story, "error": errors}, path)
+    every = [START.date() + timedelta(days=d) for d in range(DAYS)]
+    assert first == {"run": every, "run_story": every, "error": every[:1]}
+    files = {n: day_folders(tmp_path / "export" / n) for n in first}
+    again = run_story.repartition(3)  # the same rows in another order
+    assert export_changed({"run": run, "run_story": again, "error": errors}, path) == {n: [] for n in first}
+    assert {n: day_folders(tmp_path / "export" / n) for n in first} == files
+    # one score changed on one day, one null for another column's, and a day left out
+    less = run_story.filter(run_story.ts_run < times[-2])
+    other = less.withColumn("score", F.when(less.ts_run == times[2], F.col("score") + 1).otherwise(F.col("score")))
+    assert export_changed({"run_story": other}, path) == {"run_story": [every[1], every[-1]]}
+    got = read_table(spark, f"{path}/run_story", schema.RUN_STORY)
+    assert rows(got, *schema.RUN_STORY.names) == rows(other, *schema.RUN_STORY.names)
+    after = day_folders(tmp_path / "export" / "run_story")
+    assert {d for d in after if after[d] != files["run_story"][d]} == {f"run_date={every[1]}"}
+    bare = less.withColumns({"score": F.lit(None).cast("int"), "descendants": F.lit(None).cast("long")})
+    swapped = bare.withColumn("score", F.lit(3))
+    export_changed({"run_story": bare.withColumn("descendants", F.lit(3).cast("long"))}, path)
+    assert len(export_changed({"run_story": swapped}, path)["run_story"]) == DAYS - 1
+    assert export_changed({"run_story": run_story.limit(0)}, path) == {"run_story": every[:-1]}
+    assert read_table(spark, f"{path}/run_story", schema.RUN_STORY).count() == 0
