@@ -5,10 +5,10 @@ windows elect equal anchors at equal places, so only texts around a common ancho
 window. The stretch of windows that elect an anchor is its context. Equal contexts are counted and
 kept once; the others that share an anchor meet in an index of bounded size.
 
-There the rows of the sorted suffixes fall into runs of equal preceding bytes. Inside a run, the
-match of a suffix with its neighbour is that of the text position before it less one byte, so
-matching statistics stream from the run ends: only there a match is measured, and its whole
-extent is marked. Anchors with too many contexts for one index are decided by counting the hashes
+There the rows of the sorted suffixes fall into runs of equal preceding bytes, and the index keeps the
+runs, the suffixes at their ends and the matches measured there. Inside a run, the match of a suffix with its
+neighbour is that of the text position before it less one byte, so matching statistics
+stream from the run ends over the text, and long ones are marked. Anchors with too many contexts for one index are decided by counting the hashes
 of their windows, which spreads over any number of tasks.
 """
 
@@ -100,8 +100,12 @@ def _find_anchors(length: int):
 
 
 class RunIndex:
-    """Suffixes of some texts in the order of their first bytes, with the ends of the runs of
-    their Burrows-Wheeler transform."""
+    """Run-length Burrows-Wheeler transform of some texts, with the suffixes at the ends of its runs.
+
+    What stays of the sorted suffixes is a symbol, a length and two text places for every run: those of
+    its first and its last suffix, and how far the first one matches the last one of the run before. So
+    the index grows with the number of runs, which repetition does not raise.
+    """
 
     def __init__(self, texts: list[np.ndarray], length: int):
         self.length = length
@@ -111,84 +115,89 @@ class RunIndex:
         for at, text in zip(self.start, texts, strict=True):
             symbols[at : at + len(text)] = text
             symbols[at : at + len(text)] += 1
-        self.symbols = symbols
-        self._sort()
-
-    def _sort(self) -> None:
-        n = len(self.symbols)
-        padded = np.append(self.symbols, np.zeros(FIRST_SORT, np.uint16)).astype(np.uint64)
-        key = np.zeros(n, np.uint64)
-        for i in range(FIRST_SORT):
-            key = (key << np.uint64(9)) | padded[i : i + n]
-        ends = np.flatnonzero(self.symbols == 0)
-        left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # bytes up to the end
-        order = np.argsort(key, kind="stable")
-        self.levels: list[tuple[int, np.ndarray]] = []
-        new = np.ones(n, bool)
-        new[1:] = key[order[1:]] != key[order[:-1]]
-        alone = left[order] < FIRST_SORT
-        new |= alone
-        new[1:] |= alone[:-1]
-        place = np.arange(n, dtype=np.int32)
-        rank = np.empty(n, np.int32)
-        rank[order] = np.maximum.accumulate(np.where(new, place, 0))
-        self.levels.append((FIRST_SORT, rank))
-        reach = FIRST_SORT
-        while reach < self.length:
-            # suffixes alone in their rank have their place; the others are sorted again
-            single = new & np.append(new[1:], True)
-            open_ = np.flatnonzero(~single)
-            rank = rank.copy()
-            if len(open_):
-                items = order[open_]
-                behind = np.minimum(items + reach, n - 1)
-                pair = rank[items].astype(np.int64) * n + rank[behind]
-                by = np.argsort(pair, kind="stable")
-                items, pair = items[by], pair[by]
-                order[open_] = items
-                fresh = np.ones(len(items), bool)
-                fresh[1:] = pair[1:] != pair[:-1]
-                new[open_] = fresh
-                rank[items] = open_[np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))]
-            reach *= 2
-            self.levels.append((reach, rank))
-        self.order, self.new, self.reach = order, new, reach
-
-    def _match(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common bytes of suffix pairs that differ within ``reach``."""
-        n = len(self.symbols)
-        done = np.zeros(len(a), np.int64)
-        for reach, rank in reversed(self.levels[:-1]):
-            same = rank[np.minimum(a + done, n - 1)] == rank[np.minimum(b + done, n - 1)]
-            done += np.where(same, reach, 0)
-        for _ in range(FIRST_SORT - 1):
-            x, y = self.symbols[np.minimum(a + done, n - 1)], self.symbols[np.minimum(b + done, n - 1)]
-            done += (x == y) & (x > 0)
-        return done
+        self.places = len(symbols)
+        order = _suffix_order(symbols)
+        before = np.where(order > 0, symbols[order - 1], 0)
+        new = np.ones(len(order), bool)  # a text's beginning is a run of its own
+        new[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
+        rows = np.flatnonzero(new)
+        self.symbol = before[rows]
+        self.size = np.diff(np.append(rows, len(order)))
+        self.head, self.tail = order[rows], order[rows + self.size - 1]
+        self.match = _common(symbols, self.tail[:-1], self.head[1:])
+
+    def matching_statistics(self) -> np.ndarray:
+        """For every place the longest match of its suffix with any other.
+
+        A suffix and its neighbour inside a run match one byte less than the suffixes one place before
+        them, so the statistics stream from the samples at run ends over the text.
+        """
+        reach = np.zeros(self.places, np.int64)
+        np.maximum.at(reach, self.head[1:], self.head[1:] + self.match)
+        np.maximum.at(reach, self.tail[:-1], self.tail[:-1] + self.match)
+        return np.maximum(np.maximum.accumulate(reach) - np.arange(self.places), 0)
 
     def repeats(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and lengths of matches of at least ``length`` that cover all repeated windows."""
-        order, new = self.order, self.new
-        before = np.where(order > 0, self.symbols[order - 1], 0)
-        tied = ~new
-        group = tied | np.append(tied[1:], False)
-        starts = [order[group]]
-        sizes = [np.full(len(starts[0]), self.reach)]
-        # run ends: neighbours whose preceding bytes differ or that start a text
-        boundary = np.flatnonzero(
-            new[1:] & ((before[1:] != before[:-1]) | (before[1:] == 0))
-        )
-        a, b = order[boundary], order[boundary + 1]
-        # a match shorter than half the last reach is too short
-        half = self.levels[-2][1] if len(self.levels) > 1 else self.levels[-1][1]
-        near = half[a] == half[b]
-        a, b = a[near], b[near]
-        match = self._match(a, b)
-        long = match >= self.length
-        for side in (a, b):
-            starts.append(side[long])
-            sizes.append(match[long])
-        return np.concatenate(starts), np.concatenate(sizes)
+        found = self.matching_statistics()
+        start = np.flatnonzero(found >= self.length)
+        return start, found[start]
+
+
+def _suffix_order(symbols: np.ndarray) -> np.ndarray:
+    """Places of all suffixes in order. A 0 ends a suffix; equal ones are in order of place."""
+    n = len(symbols)
+    ends = np.flatnonzero(symbols == 0)
+    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # bytes up to the end
+    padded = np.append(symbols, np.zeros(FIRST_SORT, np.uint16)).astype(np.uint64)
+    key = np.zeros(n, np.uint64)
+    for i in range(FIRST_SORT):
+        key = (key << np.uint64(9)) | np.where(left > i, padded[i : i + n], 0).astype(np.uint64)
+    order = np.argsort(key, kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    alone = left[order] < FIRST_SORT
+    new |= alone
+    new[1:] |= alone[:-1]
+    place = np.arange(n, dtype=np.int32)
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, place, 0))
+    reach = FIRST_SORT
+    while True:
+        # suffixes alone in their rank have their place; the others are sorted again
+        open_ = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(open_):
+            return order
+        items = order[open_]
+        pair = rank[items].astype(np.int64) * n + rank[items + reach]  # such a suffix is as long
+        by = np.argsort(pair, kind="stable")
+        items, pair = items[by], pair[by]
+        order[open_] = items
+        fresh = np.ones(len(items), bool)
+        fresh[1:] = pair[1:] != pair[:-1]
+        new[open_] = fresh
+        rank[items] = open_[np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))]
+        reach *= 2
+
+
+def _common(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 32) -> np.ndarray:
+    """Common bytes of pairs of suffixes, compared block by block; few blocks, as only run ends are."""
+    done = np.zeros(len(a), np.int64)
+    padded = np.append(symbols, np.zeros(block, symbols.dtype))
+    going = np.arange(len(a))
+    steps = np.arange(block)
+    while len(going):
+        following = []
+        for low in range(0, len(going), 50_000):
+            part = going[low : low + 50_000]
+            x = padded[(a[part] + done[part])[:, None] + steps]
+            y = padded[(b[part] + done[part])[:, None] + steps]
+            other = (x != y) | (x == 0)
+            whole = ~other.any(1)
+            done[part] += np.where(whole, block, other.argmax(1))
+            following.append(part[whole])
+        going = np.concatenate(following)
+    return done
 
 
 def united(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -109,6 +109,46 @@ def test_run_index_marks_all_repeated_windows():
             assert len(own) == runs and sum(b - a for a, b in own) == removed
 
 
+def test_run_ends_give_the_longest_match_of_every_place():
+    draw = random.Random(5)
+    for _ in range(60):
+        texts = [bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 30))) for _ in range(draw.randint(1, 5))]
+        index = runindex.RunIndex([np.frombuffer(t, np.uint8) for t in texts], 4)
+        suffixes = {at + i: t[i:] for t, at in zip(texts, index.start, strict=True) for i in range(len(t))}
+
+        def match(p):
+            best = 0
+            for q, other in suffixes.items():
+                n = 0
+                while q != p and n < min(len(other), len(suffixes[p])) and other[n] == suffixes[p][n]:
+                    n += 1
+                best = max(best, n)
+            return best
+
+        found = index.matching_statistics()
+        assert [found[p] for p in suffixes] == [match(p) for p in suffixes]
+        assert index.size.sum() == index.places == sum(len(t) + 1 for t in texts)
+
+
+def test_index_grows_with_runs_not_with_text():
+    draw = np.random.default_rng(2)
+    base = draw.integers(97, 110, 2_000).astype(np.uint8)
+
+    def copies(n):
+        out = []
+        for _ in range(n):
+            text = base.copy()
+            text[draw.integers(0, len(text), 3)] = 122
+            out.append(text)
+        return runindex.RunIndex(out, 400)
+
+    few, many = copies(4), copies(64)
+    assert many.places > 15 * few.places
+    assert len(many.head) < 2.5 * len(few.head)
+    kept = sum(v.nbytes for v in vars(many).values() if isinstance(v, np.ndarray))
+    assert kept < 8 * 8 * len(many.head) and kept < 3 * many.places
+
+
 def _long_texts(seed):
     draw = random.Random(seed)
 
