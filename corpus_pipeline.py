@@ -7,6 +7,7 @@ reread as the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ranktrail.llm import bestfit, minhash, mixing, quality, runindex
 from ranktrail.llm.common import documents, stored, whole_rows
@@ -17,8 +18,9 @@ PASSAGE_BYTES = 250  # what counts as a repeated passage: 50 words of this corpu
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the quality rules reject; no column of the others changes."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = docs.select("doc_id", "text", whole_rows(docs).alias("given_"))
-    return quality.quality_rules(rows, labels).filter("kept").select("given_.*")
+    kept = quality.text_verdicts(docs, labels).filter("kept").select("th")
+    rows = docs.select(whole_rows(docs), F.xxhash64("text").alias("h_"))
+    return rows.join(kept, F.col("h_") == F.col("th"), "semi").select("row_.*")
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
