@@ -38,4 +38,5 @@ SQL = {
     "op5_revisits": revisits.OP5_SQL,
     "op6_link_graph_filter": urlfilter.OP6_SQL,
     "op11_centroid_clustering": centroids.OP11_SQL,
+    "op13_spelling_variants": spelling.OP13_SQL,
 }

@@ -399,3 +399,49 @@ def spelling_variants(
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(documents(spark, sf_dir))
+
+
+# The same in SQL: the checksum of every different run of a document byte by byte with a table made by its
+# rule (reversed polynomial 0xEDB88320), near words by the letters that are left when one is taken away.
+OP13_SQL = r"""WITH RECURSIVE bits AS (
+  SELECT b AS byte, b::UBIGINT AS c, 0 AS k FROM range(256) t(b)
+  UNION ALL
+  SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(doc_id || ':' || run)) AS x FROM counted),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(1, length(x), 2),
+      lambda i: ('0x' || substr(x, i::INT, 2))::UBIGINT),
+      lambda h, b: xor(h >> 8, t[(xor(h, b) & 255)::INT + 1]), 4294967295::UBIGINT), 4294967295::UBIGINT) AS h
+  FROM hexed, crc
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+      ELSE run END AS word, n
+  FROM hashed
+), v AS (
+  SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)
+), near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, min({'less': -m, 'other': other}) AS b FROM near GROUP BY word
+), forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -b.less >= 5 * v.n THEN b.other END AS form, CASE WHEN -b.less >= 5 * v.n THEN -b.less END AS form_n
+  FROM v LEFT JOIN best ON v.word = best.word
+), chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n
+FROM forms f JOIN (SELECT c.word, c.root FROM chain c JOIN forms e ON c.root = e.word WHERE e.form IS NULL) r ON f.word = r.word
+"""

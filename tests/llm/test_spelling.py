@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +75,19 @@ def test_whole_table_against_deletions_of_all_words(spark, symbols):
     assert sum(r[4] > 0 for r in wanted) > 20
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_sql_gives_the_same_rows(size):
+    folder = SMALL.replace("sf0.001", size)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS FROM '{folder}/documents.parquet'")
+        found = db.sql(spelling.OP13_SQL)
+        assert tuple(found.columns) == NAMES
+        rows = found.fetchall()
+        docs = db.execute("SELECT doc_id, text FROM documents").fetchall()
+    got = sorted((word, form or "", root, n, near, m or 0) for word, form, root, n, near, m in rows)
+    assert got == _variants(_counts(docs))
+
+
 def _edits(draw, word, letters):
     i = draw.randrange(len(word))
     return draw.choice([word[:i] + word[i + 1 :], word[:i] + draw.choice(letters) + word[i:],
