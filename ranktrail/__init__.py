@@ -16,6 +16,7 @@ from .operators.collect import (  # noqa: E402
     run_errors,
     run_story_errors,
 )
+from .operators.export import export_changed  # noqa: E402
 from .operators.legacy import (  # noqa: E402
     classify_rankbump,
     filter_rankbump,
@@ -27,6 +28,7 @@ from .operators.maintenance import (  # noqa: E402
     merge_conflicts,
     merge_instances,
     migrate_v015,
+    rewrite_stale_unknown,
 )
 from .operators.ranks import (  # noqa: E402
     data_cube,
@@ -36,6 +38,7 @@ from .operators.ranks import (  # noqa: E402
     story_timeline,
     top_n_from_json,
 )
+from .operators.report_state import coverage_report, story_report, update_report  # noqa: E402
 from .operators.reports import (  # noqa: E402
     diagnose_errors,
     missing_runs_at,
@@ -54,21 +57,31 @@ from .operators.status import (  # noqa: E402
 )
 from .plans.cycle import run_cycle  # noqa: E402
 from .plans.replay import replay_history  # noqa: E402
+from .plans.snapshots import classify_as_of, extend_snapshots, thin_snapshots  # noqa: E402
 from .ruleset import Ruleset, load_ruleset  # noqa: E402
 from .session import get_spark  # noqa: E402
+from .sources.histories import append_histories, story_history  # noqa: E402
 from .sources.responses import extract_item_fields, parse_items, parse_rankings  # noqa: E402
+from .streaming.compaction import compact  # noqa: E402
 from .streaming.live import stream_cycle  # noqa: E402
+from .streaming.stories import stream_stories  # noqa: E402
 
 __all__ = [
     "Ruleset",
+    "append_histories",
     "assemble_run",
     "check_time_window",
+    "classify_as_of",
     "classify_rankbump",
     "classify_reconcile",
     "classify_stories",
+    "compact",
+    "coverage_report",
     "data_cube",
     "diagnose_errors",
+    "export_changed",
     "export_tables",
+    "extend_snapshots",
     "extract_item_fields",
     "fetch_candidates",
     "fetch_outcomes",
@@ -90,6 +103,7 @@ __all__ = [
     "record_run_story",
     "replay_history",
     "retry_profile",
+    "rewrite_stale_unknown",
     "run_cycle",
     "run_errors",
     "run_ruptures",
@@ -101,8 +115,13 @@ __all__ = [
     "status_transitions",
     "stories_ranks",
     "stories_status",
+    "story_history",
+    "story_report",
     "story_state",
     "story_timeline",
     "stream_cycle",
+    "stream_stories",
+    "thin_snapshots",
     "top_n_from_json",
+    "update_report",
 ]
