@@ -143,3 +143,34 @@ def test_empty_tables_and_no_labels(spark, labels):
     assert [r.t_ for r in quality.trusted_ids(odd).collect()] == [6]
     unnamed = spark.createDataFrame([(None, "a b " * 30, None, None, None)], DOCUMENT)
     assert quality.quality_rules(unnamed, labels).first().doc_id is None
+
+
+def test_every_good_label_is_trusted(spark):
+    labels = spark.range(25_000).select(
+        F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic")
+    )
+    assert quality.trusted_ids(labels).count() == 25_000
+    plan = quality.trusted_ids(labels)._jdf.queryExecution().toString()
+    assert "Limit" not in plan
+
+
+@pytest.mark.parametrize("blocks", [0, quality.MOST_BLOCKS])
+def test_trust_by_bitmap_and_by_join(spark, monkeypatch, blocks):
+    monkeypatch.setattr(quality, "MOST_BLOCKS", blocks)
+    ids = [0, 1, 7, 8, 32767, 32768, 32769, 65536, 65537, -1, -32768, -32769, 2**62, 2**63 - 1, -(2**63)]
+    near = {i + d for i in ids for d in (-1, 0, 1) if -(2**63) <= i + d < 2**63}
+    docs = spark.createDataFrame([(i, "x") for i in [*near, None]], "doc_id long, text string")
+    trusted = spark.createDataFrame([(i,) for i in ids], "t_ long")
+    got = {r.doc_id: r.t_ for r in quality.with_trust(docs, trusted).collect()}
+    assert got == {i: i in ids for i in [*near, None]}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 101, 5000])
+def test_threshold_is_the_exact_quantile(spark, n):
+    rng = np.random.default_rng(n)
+    values = np.round(rng.normal(0, 2, n), 3) + rng.integers(0, 3, n) * 1e-10
+    rows = [(float(v), 50, True) for v in values] + [(-30.0, 5, True), (-30.0, 50, False)]
+    scores = spark.createDataFrame(rows, "score double, n int, t boolean")
+    for q in (0.0, 0.01, 0.5, 1.0):
+        wanted = np.quantile(values, q) if n else 0.0
+        assert quality.quality_threshold(scores, q) == pytest.approx(wanted, abs=1e-13)
