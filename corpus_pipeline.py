@@ -20,7 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     kept = quality.text_verdicts(docs, labels).filter("kept").select("th")
     rows = docs.select(whole_rows(docs), F.xxhash64("text").alias("h_"))
-    return rows.join(kept, F.col("h_") == F.col("th"), "semi").select("row_.*")
+    # the verdicts grow with the documents, so no small input is joined in another way
+    return rows.join(kept.hint("merge"), F.col("h_") == F.col("th"), "semi").select("row_.*")
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

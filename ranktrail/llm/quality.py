@@ -18,14 +18,13 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranktrail.llm.common import SPACES, documents, stored, unpacked, whole_rows, word_count, words
+from ranktrail.llm.common import SPACES, documents, stored, unpacked, whole_rows, with_listed, word_count, words
 
 TRUSTED_ROWS = None  # trusted labels used: all
 GRAMS_PER_BUCKET = 1024  # trusted grams for each bucket; the number is a power of two
 LEAST_BUCKETS = 1 << 16
 MOST_BUCKETS = 1 << 24  # bounds the table of ratios that is broadcast: two ints a bucket
 PACKED = 10  # binary digits of the number of buckets whose ratios make one row
-MOST_BLOCKS = 1 << 14  # broadcast blocks of 32,768 doc_ids, 4 kB each; with more, ids are joined by a shuffle
 SCALES = (1e2, 1e5, 1e8)  # ever finer bins of scores, between which a rank is sought
 SMOOTHING = 1.0  # trusted grams by which a bucket's expected and seen numbers are both raised
 QUANTILE = 0.01  # of the trusted documents' own scores: the threshold
@@ -84,31 +83,10 @@ def trusted_ids(labels: DataFrame, rows: int | None = TRUSTED_ROWS) -> DataFrame
     return ids if rows is None else ids.orderBy(F.xxhash64("t_"), "t_").limit(rows)
 
 
-def with_trust(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """With ``t_``: whether the row's doc_id is a trusted one, false for a null.
-
-    The ids are sent as bitmaps over blocks of neighbouring ids, 2 MB for 16 million documents. Ids so far
-    apart that their blocks are too many are met by a join instead, which shuffles the rows.
-    """
-    block, place = F.bitmap_bucket_number("t_"), F.bitmap_bit_position("t_")
-    blocks = trusted.groupBy(block.alias("block_")).agg(F.bitmap_construct_agg(place).alias("bits_"))
-    blocks = stored(blocks, "trusted-blocks")
-    own = docs.columns
-    if blocks.count() > MOST_BLOCKS:
-        joined = docs.join(trusted.hint("merge"), F.col("doc_id") == F.col("t_"), "left")
-        return joined.select(*own, F.col("t_").isNotNull().alias("t_"))
-    id_ = F.col("doc_id").cast("long")
-    joined = docs.join(F.broadcast(blocks), F.bitmap_bucket_number(id_) == F.col("block_"), "left")
-    place = F.bitmap_bit_position(id_)
-    byte = F.hex(F.substring("bits_", F.floor(place / 8).cast("int") + 1, F.lit(1)))
-    bit = F.getbit(F.conv(byte, 16, 10).cast("int"), (place % 8).cast("int"))
-    return joined.select(*own, F.coalesce(bit == 1, F.lit(False)).alias("t_"))
-
-
 def bucket_count(docs: DataFrame, trusted: DataFrame) -> int:
     """Buckets for the grams of the trusted documents: a power of two within fixed bounds."""
     grams = F.greatest(2 * word_count(F.col("text")) - 1, F.lit(0))
-    known = with_trust(docs.select("doc_id", "text"), trusted).filter("t_")
+    known = with_listed(docs.select("doc_id", "text"), trusted).filter("t_")
     total = known.agg(F.sum(grams)).first()[0] or 0
     wanted = 1 << max(0, (total // GRAMS_PER_BUCKET - 1)).bit_length()
     return min(MOST_BUCKETS, max(LEAST_BUCKETS, wanted))
@@ -116,7 +94,7 @@ def bucket_count(docs: DataFrame, trusted: DataFrame) -> int:
 
 def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
     """(b, t0, t1, r): grams by bucket, trusted ones of either fold and those of all documents."""
-    marked = with_trust(docs.select("doc_id", "text"), trusted)
+    marked = with_listed(docs.select("doc_id", "text"), trusted)
     group = F.when(~F.col("t_"), -1).otherwise(_fold(F.col("text"))).alias("f")
     grams = _with_grams(marked.select("text", group)).select("f", F.concat("ones_", "twos_").alias("grams_"))
     grams = grams.select("f", F.explode_outer("grams_").alias("g")).filter(F.col("g").isNotNull())
@@ -178,7 +156,7 @@ def text_scores(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
         F.count("*").alias("grams"),
         F.max("n").alias("n"),
     )
-    known = with_trust(docs.select("doc_id", F.xxhash64(text).alias("k_")), trusted)
+    known = with_listed(docs.select("doc_id", F.xxhash64(text).alias("k_")), trusted)
     known = known.filter("t_").select("k_").distinct()
     score = F.col("total") / F.col("grams") / 1e6
     marked = sums.join(known, F.col("th") == F.col("k_"), "left")

@@ -191,3 +191,24 @@ def test_texts_without_repeats(spark):
     assert runindex.without_repeats(docs).columns == docs.columns
     assert runindex.without_repeats(docs.limit(0)).count() == 0
     assert runindex.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_texts_without_repeats_are_not_shuffled(spark, monkeypatch):
+    """Rows whose doc_id has no repeat stay out of the shuffles that bring spans and contexts to texts."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefgh"), 9)) for _ in range(400)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(40)]
+    texts[3] = texts[7][:200] + texts[3][200:]
+    docs = documents(spark, [*texts, None])
+    taken = []
+    part = runindex._parted
+
+    def watched(rows, listed):
+        near, far = part(rows, listed)
+        taken.append((near.count(), far.count()))
+        return near, far
+
+    monkeypatch.setattr(runindex, "_parted", watched)
+    rows = {r.doc_id: r for r in runindex.remove_repeats(docs, length=120).collect()}
+    assert {i for i, r in rows.items() if r.n_removed} == {3, 7} and len(rows) == 41
+    assert taken == [(2, 39), (2, 39)]

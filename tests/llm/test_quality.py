@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ranktrail.llm import quality
+from ranktrail.llm import common, quality
 from ranktrail.llm.common import documents as stored_documents
 from tests.conftest import SMALL
 from tests.llm.brute import DOCUMENT, WORD, base_counts, documents
@@ -154,14 +154,14 @@ def test_every_good_label_is_trusted(spark):
     assert "Limit" not in plan
 
 
-@pytest.mark.parametrize("blocks", [0, quality.MOST_BLOCKS])
-def test_trust_by_bitmap_and_by_join(spark, monkeypatch, blocks):
-    monkeypatch.setattr(quality, "MOST_BLOCKS", blocks)
+@pytest.mark.parametrize("blocks", [0, common.MOST_BLOCKS])
+def test_listed_by_bitmap_and_by_join(spark, monkeypatch, blocks):
+    monkeypatch.setattr(common, "MOST_BLOCKS", blocks)
     ids = [0, 1, 7, 8, 32767, 32768, 32769, 65536, 65537, -1, -32768, -32769, 2**62, 2**63 - 1, -(2**63)]
     near = {i + d for i in ids for d in (-1, 0, 1) if -(2**63) <= i + d < 2**63}
     docs = spark.createDataFrame([(i, "x") for i in [*near, None]], "doc_id long, text string")
     trusted = spark.createDataFrame([(i,) for i in ids], "t_ long")
-    got = {r.doc_id: r.t_ for r in quality.with_trust(docs, trusted).collect()}
+    got = {r.doc_id: r.t_ for r in common.with_listed(docs, trusted).collect()}
     assert got == {i: i in ids for i in [*near, None]}
 
 
