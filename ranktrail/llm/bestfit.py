@@ -22,6 +22,7 @@ from ranktrail.llm.tokens import cuts, default_vocabulary, encoder
 WIDTH = 2048
 GROUP_ITEMS = 50_000  # items that one task packs at once
 NEARLY_FULL = 8  # tokens a final bin may leave free
+TEXTS_AT_ONCE = 500  # texts of a batch that a task holds as Python strings
 
 _PIECES = pa.schema(
     [
@@ -51,14 +52,15 @@ def token_pieces(
         item = TaskContext.get().partitionId() << 36
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = encode(text or "").astype("<u4").tobytes() + end
-                for piece, (start, n) in enumerate(cuts(len(data) // 4, width)):
-                    crc = zlib.crc32(data[4 * start : 4 * (start + n)])
-                    rows.append((item, doc_id, piece, start, n, crc))
-                    item += 1
-            if rows:
+            for low in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch.slice(low, TEXTS_AT_ONCE)
+                rows = []
+                for doc_id, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    data = encode(text or "").astype("<u4").tobytes() + end
+                    for piece, (start, n) in enumerate(cuts(len(data) // 4, width)):
+                        crc = zlib.crc32(data[4 * start : 4 * (start + n)])
+                        rows.append((item, doc_id, piece, start, n, crc))
+                        item += 1
                 columns = zip(zip(*rows, strict=True), _PIECES, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in columns], schema=_PIECES

@@ -212,3 +212,18 @@ def test_texts_without_repeats_are_not_shuffled(spark, monkeypatch):
     rows = {r.doc_id: r for r in runindex.remove_repeats(docs, length=120).collect()}
     assert {i for i, r in rows.items() if r.n_removed} == {3, 7} and len(rows) == 41
     assert taken == [(2, 39), (2, 39)]
+
+
+def test_windows_of_busy_anchors_take_one_python_worker_a_task(spark, monkeypatch):
+    """Contexts are cut and hashed by one Python step; two in a row hold two workers for every task."""
+    monkeypatch.setattr(runindex, "MOST_CONTEXTS", 5)
+    steps = {}
+    store = runindex.stored
+
+    def watched(df, name):
+        steps[name] = df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+        return store(df, name)
+
+    monkeypatch.setattr(runindex, "stored", watched)
+    runindex.repeated_spans(documents(spark, _long_texts(4)), length=120)
+    assert steps["anchors"] == 1 and steps["windows"] == 1
