@@ -92,7 +92,7 @@ def _predict(langs: list[str], weights: bytegru.Weights | None):
             best = np.full(len(batch), len(langs))
             score = np.zeros(len(batch))
             if weights is not None:
-                for low, high, data, offsets in byte_chunks(batch["text_"]):
+                for low, high, data, offsets in byte_chunks(batch["text_"], 1_000_000):
                     found = bytegru.pooled(weights, data, offsets)
                     best[low:high], score[low:high] = found.argmax(1), found.max(1)
             lettered = batch["lettered_"].to_numpy(zero_copy_only=False).astype(bool)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -227,3 +228,18 @@ def test_windows_of_busy_anchors_take_one_python_worker_a_task(spark, monkeypatc
     monkeypatch.setattr(runindex, "stored", watched)
     runindex.repeated_spans(documents(spark, _long_texts(4)), length=120)
     assert steps["anchors"] == 1 and steps["windows"] == 1
+
+
+def test_anchor_search_holds_arrays_of_a_small_chunk():
+    draw = np.random.default_rng(4)
+    texts = [draw.integers(97, 123, 3_000).astype(np.uint8).tobytes().decode() for _ in range(1_000)]
+    ids = pa.array(range(1_000), pa.int64())
+    batch = pa.RecordBatch.from_pydict({"doc_id": ids, "th": ids, "text": pa.array(texts)})
+    find = runindex._find_anchors(400)
+    for _ in find([batch.slice(0, 400)]):  # the tables of powers are made
+        pass
+    tracemalloc.start()
+    n = sum(len(part) for part in find([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 1_000 and peak < 40e6

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -161,3 +162,30 @@ def test_empty_table_and_null_ids(spark):
     odd = odd.coalesce(1)
     assert [r.doc_id for r in bestfit.pack_best_fit(odd).collect()] == [None, None]
     assert packing.pack_documents(odd).first().doc_ids == [None, None]
+
+
+def test_token_pieces_hold_few_texts_at_once(spark, monkeypatch):
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, ddl):
+            return run
+
+    class Task:
+        def partitionId(self):
+            return 0
+
+    encoded = []
+
+    class Encoder:
+        def encode(self, text):
+            encoded.append(text)
+            return np.arange(3, dtype=np.uint32)
+
+    monkeypatch.setattr(bestfit.TaskContext, "get", staticmethod(Task))
+    monkeypatch.setattr(bestfit, "encoder", lambda path: Encoder())
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(5_000), pa.int64()), "text": ["a"] * 5_000})
+    out = bestfit.token_pieces(Docs(), vocabulary="")([batch])
+    assert len(next(out)) == len(encoded) <= 1_000
+    assert sum(len(part) for part in out) + 500 == 5_000 == len(encoded)
